@@ -21,17 +21,32 @@ MISSING_MARKS = (
 PAGE_KEYS = ("year", "month_number", "country_code", "commodity_code")
 
 
+def has_broken_lines(spark: SparkSession, path) -> bool:
+    """Whether some record spans lines: a line then has an odd number of quote marks."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).limit(1).isEmpty()
+
+
 def raw_csv(
-    spark: SparkSession, path, schema=RAW_SCHEMA, missing_marks=MISSING_MARKS, keep=()
+    spark: SparkSession,
+    path,
+    schema=RAW_SCHEMA,
+    missing_marks=MISSING_MARKS,
+    keep=(),
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """Raw files with a header, every column as text, in standard column names.
 
     Missing marks become null except in the ``keep`` columns, for which a code such
-    as ``NA`` is a value. Uncompressed files are split; a gzip file is one task.
+    as ``NA`` is a value. Files with one record per line are split over tasks; files
+    with line breaks inside quotes take one task each. Unless ``multi_line`` says
+    which it is, the lines are checked first.
     """
+    if multi_line is None:
+        multi_line = has_broken_lines(spark, path)
     df = standard_names(
         spark.read.schema(schema)
-        .options(header=True, enforceSchema=True, multiLine=False, escape='"')
+        .options(header=True, enforceSchema=True, multiLine=multi_line, escape='"')
         .csv(path)
     )
     if not missing_marks:
