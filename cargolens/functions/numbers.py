@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_NUMBER = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)$"
-_BLANKS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# Words for an unlimited number.
+INFINITE = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
 
 
 def to_number(c: Column | str) -> Column:
     """Text to double; anything that is not a plain number becomes null.
 
-    The pattern keeps out the Java suffixes (``1d``, ``1f``) that a bare cast accepts.
+    A bare cast also accepts the Java forms ``1d``, ``1f`` and ``0x1p3``, which all hold
+    one of a few letters; only the words for infinity may hold one.
     """
-    text = F.regexp_replace(_col(c).cast("string"), _BLANKS, "")
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    text = _col(c).cast("string")
+    plain = ~text.rlike("[dDfFxX]") | F.lower(F.trim(text)).isin(*INFINITE)
+    return F.nanvl(F.when(plain, text.try_cast("double")), F.lit(None).cast("double"))
 
 
 def clean_number(c: Column | str) -> Column:

@@ -13,19 +13,29 @@ UNIT_SPELLINGS = {
     "LITRES AL": "Litres",
 }
 
-_SPACE = r"[\s\x1c-\x1f]"
+# The white space of text stripping, the plain blank first.
+WHITE_SPACE = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
+def strip(c: Column) -> Column:
+    """Without outer white space of any kind."""
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def normalize_text(c: Column | str, unknown: str = "Unknown") -> Column:
     """Missing to ``unknown``, strip, single blanks, no quote marks, in this order.
 
     Because missing texts are replaced before stripping, ``' nan '`` ends as ``nan``.
+    A pattern is used only on texts with two blanks in a row.
     """
     c = F.col(c) if isinstance(c, str) else c
     text = c.cast("string")
     text = F.when(text.isNull() | text.isin(*MISSING_TEXTS), F.lit(unknown)).otherwise(text)
-    text = F.regexp_replace(text, f"(?U)^{_SPACE}+|{_SPACE}+$", "")
-    text = F.regexp_replace(text, f"(?U){_SPACE}+", " ")
+    text = F.trim(F.translate(text, WHITE_SPACE[1:], " " * (len(WHITE_SPACE) - 1)))
+    text = F.when(text.contains("  "), F.regexp_replace(text, " {2,}", " ")).otherwise(text)
     return F.translate(text, "\"'", "")
 
 

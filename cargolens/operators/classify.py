@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import strip
+
 # Section of each two-digit chapter, in chapter order.
 CHAPTER_SECTION = {
     "01": "0", "02": "0", "03": "0", "04": "0", "05": "0", "06": "0", "07": "0", "08": "0",
@@ -121,7 +123,7 @@ def divisions(spark: SparkSession) -> DataFrame:
 
 
 def _code(code: str) -> Column:
-    return F.regexp_replace(F.col(code).cast("string"), r"(?U)^\s+|\s+$", "")
+    return strip(F.col(code).cast("string"))
 
 
 def _section_key(text: Column) -> Column:

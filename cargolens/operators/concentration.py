@@ -78,22 +78,20 @@ def dependence(
     value: str = "valuecif",
     steps=DEPENDENCE_STEPS,
     cumulative: str | None = None,
+    details: bool = True,
 ) -> DataFrame:
     """Each item's share of all imports, and its dependence class.
 
-    ``cumulative`` adds the running share in ``"name"`` or ``"value"`` order. Rows
-    without an item count towards the total but form no item; they are dropped by a
+    ``cumulative`` adds the running share in ``"name"`` or ``"value"`` order, and
+    ``details`` the weight and the record count. Rows without an item count towards the total but form no item; they are dropped by a
     count so that the total and the items come from the same shuffle.
     """
     counted = F.col("month") if "month" in df.columns else F.lit(1)
+    more = [total("weight").alias("weight"), F.count(counted).alias("record_count")]
     grouped = df.groupBy(item).agg(
-        total(value).alias(value),
-        total("weight").alias("weight"),
-        F.count(counted).alias("record_count"),
-        F.count(item).alias("_keyed"),
+        total(value).alias(value), *(more if details else []), F.count(item).alias("_keyed")
     )
-    totals = column_totals(grouped, [value, "weight", "record_count", "_keyed"])
-    whole = totals[value]
+    whole = column_totals(grouped, [c for c in grouped.columns if c != item])[value]
     share = F.try_divide(F.col(value).cast("double"), whole.cast("double")) * 100
     result = (
         grouped.where(F.col("_keyed") > 0).drop("_keyed").withColumn("dependence_pct", share)

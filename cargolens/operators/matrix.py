@@ -21,11 +21,15 @@ def port_country_totals(df: DataFrame, port: str = PORT, country: str = COUNTRY)
 def top_block(
     pairs: DataFrame, ports: int = 10, countries: int = 15, port: str = PORT, country: str = COUNTRY
 ) -> DataFrame:
-    """Pairs of the largest ports and largest countries; both lists have k rows at most."""
+    """Pairs of the largest ports and largest countries; both lists have k rows at most.
+
+    The lists hold each name once, so a plain join keeps the pairs as they are. A semi
+    join would be moved below the aggregate, which would then be computed a second time.
+    """
     for key, k in ((port, ports), (country, countries)):
         sums = pairs.groupBy(key).agg(F.sum("valuecif").alias("valuecif"))
         chosen = top_k(sums, "valuecif", key, k).select(key)
-        pairs = pairs.join(F.broadcast(chosen), key, "left_semi")
+        pairs = pairs.join(F.broadcast(chosen), key)
     return pairs
 
 

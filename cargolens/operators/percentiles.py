@@ -146,8 +146,3 @@ def describe(df: DataFrame, value: str, percents=QUARTILES, exact: bool = True)
     return rows.unionByName(
         points.select(F.format_string("p%02d", "percentile").alias("statistic"), "value")
     )
-
-
-def small_median(df: DataFrame, value: str) -> Column:
-    """Median of a frame bounded by a fixed list of classes, as a scalar subquery."""
-    return df.agg(F.median(F.col(value).cast("double")).alias("m")).scalar()

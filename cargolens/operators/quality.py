@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import to_number
+from ..functions.text import strip
 from ..schema import MEASURES, TEXT_COLUMNS, present
 from .percentiles import exact_median, group_medians
 from .ranking import top_in_group, top_k
@@ -174,7 +175,7 @@ def unit_variants(df: DataFrame, unit: str = "unit_quantity") -> DataFrame:
     Spellings are made distinct first, so a list holds each spelling once.
     """
     spellings = df.where(F.col(unit).isNotNull()).select(unit).distinct()
-    base = F.regexp_replace(F.lower(unit), r"(?U)^\s+|\s+$", "")
+    base = strip(F.lower(unit))
     return (
         spellings.groupBy(base.alias("base_unit"))
         .agg(

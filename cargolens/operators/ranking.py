@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -45,12 +45,12 @@ def top_in_group(df: DataFrame, group, order, n: int, rank: str = "rank") -> Dat
     return df.withColumn(rank, place).where(F.col(rank) <= n)
 
 
-def largest_member(df: DataFrame, group: str, member: str, by: str, out: str) -> DataFrame:
-    """Member with the largest value of each group, as a plain aggregate."""
+def argmax_order(by: str, member: str) -> Column:
+    """Order for ``min_by`` that finds the largest ``by``, ties by name; no null member."""
     order = F.struct((-F.col(by)).alias("size"), F.col(member).alias("name"))
-    return df.groupBy(group).agg(F.min_by(member, order).alias(out))
+    return F.when(F.col(member).isNotNull(), order)
 
 
-def top_share(df: DataFrame, share: str, by: str, ties, k: int, out: str) -> DataFrame:
-    """Sum of the shares of the k largest rows."""
-    return top_k(df, by, ties, k).agg(F.sum(share).alias(out))
+def largest_member(df: DataFrame, group: str, member: str, by: str, out: str) -> DataFrame:
+    """Member with the largest value of each group, as a plain aggregate."""
+    return df.groupBy(group).agg(F.min_by(member, argmax_order(by, member)).alias(out))

@@ -14,16 +14,14 @@ from ..operators.aggregates import (
     grand_totals,
     group_profile,
     group_totals,
-    keyed,
     total,
     with_shares,
-    year_range,
 )
 from ..operators.classify import add_industry
-from ..operators.percentiles import QUARTILES, describe, small_median
-from ..operators.ranking import largest_member, ranked_top_k, top_in_group, top_k
+from ..operators.percentiles import QUARTILES, describe
+from ..operators.ranking import argmax_order, ranked_top_k, top_in_group
 from ..operators.running import with_running_share
-from ..schema import MEASURES, present
+from ..schema import MEASURES
 
 PERCENTS = (10, 25, 50, 75, 90, 95, 99)
 LEADER, PREMIUM, STANDARD = "Market Leader", "Premium Product", "Standard"
@@ -31,16 +29,13 @@ LEADER, PREMIUM, STANDARD = "Market Leader", "Premium Product", "Standard"
 
 def overview(df: DataFrame) -> DataFrame:
     """One row: record count, totals in display units and the year range."""
-    totals = grand_totals(df, ("valuefob", "valuecif", "weight"), ())
-    years = year_range(df)
-    span = years.select(F.struct("min_year", "max_year", "years").alias("s")).scalar()
-    return totals.select(
-        "total_records",
-        (F.col("total_valuefob") / 1e9).alias("fob_billions"),
-        (F.col("total_valuecif") / 1e9).alias("cif_billions"),
-        (F.col("total_weight") / 1e6).alias("weight_millions"),
-        span["min_year"].alias("min_year"),
-        span["max_year"].alias("max_year"),
+    return df.agg(
+        F.count(F.lit(1)).alias("total_records"),
+        (total("valuefob").cast("double") / 1e9).alias("fob_billions"),
+        (total("valuecif").cast("double") / 1e9).alias("cif_billions"),
+        (total("weight").cast("double") / 1e6).alias("weight_millions"),
+        F.min("year").alias("min_year"),
+        F.max("year").alias("max_year"),
     )
 
 
@@ -121,15 +116,13 @@ def industry_sectors(df: DataFrame) -> DataFrame:
             F.count("commodity_description").alias("record_count"),
         )
     )
-    order = F.struct((-F.col("valuecif")).alias("size"), F.col("commodity_description").alias("name"))
+    order = argmax_order("valuecif", "commodity_description")
     sectors = pairs.groupBy("industry_sector").agg(
         total("valuefob").alias("valuefob"),
         total("valuecif").alias("valuecif"),
         total("weight").alias("weight"),
         total("record_count").alias("record_count"),
-        F.min_by("commodity_description", F.when(F.col("commodity_description").isNotNull(), order)).alias(
-            "top_commodity"
-        ),
+        F.min_by("commodity_description", order).alias("top_commodity"),
     )
     whole = column_totals(pairs, ["valuefob", "valuecif", "weight", "record_count"])["valuecif"]
     share = percent(F.col("valuecif"), whole)
@@ -152,11 +145,11 @@ def industry_values(df: DataFrame) -> DataFrame:
 
 def market_quadrants(df: DataFrame) -> DataFrame:
     """Industries against the medians of total value and value per tonne."""
-    values = industry_values(df)
-    # At most one row per industry of the fixed list, so plain medians are safe.
-    volume = small_median(values, "total_value_billions")
-    price = small_median(values, "value_per_tonne")
-    return values.withColumn(
+    # One row per industry of the fixed list, so a plain window over all of them is safe.
+    every = W.partitionBy()
+    volume = F.median("total_value_billions").over(every)
+    price = F.median("value_per_tonne").over(every)
+    return industry_values(df).withColumn(
         "category",
         F.when(F.col("total_value_billions") >= volume, LEADER)
         .when(F.col("value_per_tonne") >= price, PREMIUM)
@@ -293,7 +286,7 @@ def key_insights(df: DataFrame) -> DataFrame:
     first = F.max(F.when(F.col("rank") == 1, F.col("value")))
     second = F.max(F.when(F.col("rank") == 2, F.col("value")))
     years = (
-        joined.where(F.col("dimension") == "year")
+        head.where(F.col("dimension") == "year")
         .agg(first.alias("first"), second.alias("second"))
         .where(F.col("second").isNotNull())
         .select(

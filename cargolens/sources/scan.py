@@ -21,6 +21,16 @@ MISSING_MARKS = (
 PAGE_KEYS = ("year", "month_number", "country_code", "commodity_code")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash rows over all cores when a scan has fewer tasks than there are cores.
+
+    A single gzip file or row group is read by one task, and every narrow step after it
+    would run there as well. Scans with enough tasks are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def has_broken_lines(spark: SparkSession, path) -> bool:
     """Whether some record spans lines: a line then has an odd number of quote marks."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))

@@ -167,15 +167,18 @@ def commodity_dependence_by_value(spark, sf_dir):
           ORDER BY dependence_pct DESC, commodity_description LIMIT 20) d""",
 )
 def most_critical_commodities(spark, sf_dir):
-    top = concentration.most_critical(concentration.dependence(two_years(spark, sf_dir, *DEP_COLUMNS)))
+    df = two_years(spark, sf_dir, ITEM, "valuecif")
+    top = concentration.most_critical(concentration.dependence(df, details=False))
     top = top.select(ITEM, "valuecif", "dependence_pct", "dependence_level", "rank")
     return longs(rounded(top, dependence_pct=6), "rank")
 
 
 @query("A43", f"{DEP} SELECT dependence_level, count(*) AS row_count FROM dep GROUP BY 1")
 def dependence_level_counts(spark, sf_dir):
-    df = two_years(spark, sf_dir, *DEP_COLUMNS)
-    return concentration.class_counts(concentration.dependence(df), "dependence_level")
+    df = two_years(spark, sf_dir, ITEM, "valuecif")
+    return concentration.class_counts(
+        concentration.dependence(df, details=False), "dependence_level"
+    )
 
 
 SCORED = f"""{CONC}{DEP},
@@ -413,6 +416,18 @@ def heaviest_countries(spark, sf_dir):
     return ranking.top_k(rounded(grouped, weight=4), "weight", COUNTRY, 15)
 
 
+@query(
+    "W8 A13 A19",
+    """, g AS (SELECT state, commodity_description AS c, sum(valuecif) AS v FROM imports GROUP BY 1, 2)
+    SELECT state, c AS top_commodity FROM
+      (SELECT *, row_number() OVER (PARTITION BY state ORDER BY v DESC, c) AS rn FROM g) WHERE rn = 1""",
+)
+def largest_commodity_of_state(spark, sf_dir):
+    df = imports_fact(spark, sf_dir, "state", ITEM, "valuecif")
+    pairs = aggregates.group_totals(df, ["state", ITEM], ["valuecif"], None)
+    return ranking.largest_member(pairs, "state", ITEM, "valuecif", "top_commodity")
+
+
 @query(
     "T3",
     " SELECT osport_description, sum(valuecif)::DOUBLE AS valuecif FROM imports "

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cargolens.sources.scan import spread
+
 FACT_COLUMNS = (
     "year",
     "month_number",
@@ -79,7 +81,7 @@ def _joined(spark: SparkSession, sf_dir: str, columns) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
     columns = set(columns)
-    df = table("lineitem")
+    df = spread(table("lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
     if columns & _PART:
         part = table("part")
         df = df.join(part, df.l_partkey == part.p_partkey)
