@@ -378,7 +378,7 @@ def summary_statistics(df: DataFrame, tops: dict[str, int] | None = None) -> Dat
     ).select("total_records", *names.values(), "s.*")
 
 
-def report_lines(summary: DataFrame, rule: int = 60) -> DataFrame:
+def report_lines(summary: DataFrame, top_countries: int = 15, rule: int = 60) -> DataFrame:
     """The text report of a summary row: ``(line_number, line)``."""
     bar = F.lit("=" * rule)
     billions = "  %s Value: $%.2f Billion AUD"
@@ -404,7 +404,7 @@ def report_lines(summary: DataFrame, rule: int = 60) -> DataFrame:
             F.format_string(billions, F.lit("CIF"), F.col("total_value_cif") / 1e9),
             F.format_string("  Total Weight: %.2f Million Tonnes", F.col("total_weight") / 1e6),
             F.lit(""),
-            F.format_string("Top %d Countries by CIF Value:", F.size("top_countries")),
+            F.lit(f"Top {top_countries} Countries by CIF Value:"),
         ),
         countries,
     )
