@@ -73,11 +73,15 @@ def derive_values(df: DataFrame) -> DataFrame:
     return df.withColumns(new) if new else df
 
 
-def clean_records(df: DataFrame, keep_original_unit: bool = False) -> DataFrame:
-    """All row-wise steps in order, without removing duplicates: one narrow stage."""
+def clean_columns(df: DataFrame, keep_original_unit: bool = False) -> DataFrame:
+    """Every step on the given columns, without derived values: one narrow stage."""
     df = clean_numbers(standard_names(df))
-    df = standard_units(clean_texts(df), keep_original_unit)
-    return derive_values(split_month(df))
+    return split_month(standard_units(clean_texts(df), keep_original_unit))
+
+
+def clean_records(df: DataFrame, keep_original_unit: bool = False) -> DataFrame:
+    """All row-wise steps in order, without removing duplicates."""
+    return derive_values(clean_columns(df, keep_original_unit))
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -86,7 +90,9 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 
 
 def clean_imports(df: DataFrame, keep_original_unit: bool = False) -> DataFrame:
-    return distinct_rows(clean_records(df, keep_original_unit))
+    """Cleaned, distinct and derived. Derived values follow from the other columns, so
+    they are added after the shuffle that removes duplicates."""
+    return derive_values(distinct_rows(clean_columns(df, keep_original_unit)))
 
 
 def unit_changes(cleaned: DataFrame) -> DataFrame:

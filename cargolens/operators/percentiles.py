@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,34 +15,26 @@ QUARTILES = (25, 50, 75)
 ACCURACY = 10_000
 
 
-def _interpolate(low: Column, high: Column, weight: Column) -> Column:
-    return low + (high - low) * weight
-
-
 def percentile_points(df: DataFrame, value: str, percents, accuracy: int = ACCURACY) -> DataFrame:
     """One row per percentile: ``(percentile, value)``, exact, on any number of rows.
 
     A sketch first gives each percentile a narrow bracket that is certain to hold its
-    neighbours. One pass then counts rows: values inside a bracket keep their own
-    count, all rows between two brackets fold into one row on the map side. What is
-    left to order is about ``6 / accuracy`` of the distinct values per percentile.
-    Below ``5 * accuracy`` rows every value keeps its own count.
+    neighbours: two numbers per percentile, which come to the driver with the row count.
+    One pass then counts rows: values inside a bracket keep their own count, all rows
+    between two brackets fold into one row on the map side. What is left to order is
+    about ``6 / accuracy`` of the distinct values per percentile. Below ``5 * accuracy``
+    rows every value keeps its own count.
     """
     percents = sorted(percents)
     margin = 3.0 / accuracy
-    v = F.col(value).cast("double")
-    data = df.select(v.alias("_v")).where("_v IS NOT NULL")
     marks = [x for p in percents for x in (max(p / 100 - margin, 0.0), min(p / 100 + margin, 1.0))]
-    sketch = data.agg(
-        F.struct(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile_approx("_v", F.array(*[F.lit(m) for m in marks]), accuracy).alias("b"),
-        ).alias("s")
-    ).scalar()
-    brackets = sketch["b"]
-    inside, passed = sketch["n"] < 5 * accuracy, F.lit(0)
-    for place in range(len(percents)):
-        low, high = brackets[2 * place], brackets[2 * place + 1]
+    data = df.select(F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
+    rows, bounds = data.agg(
+        F.count(F.lit(1)),
+        F.percentile_approx("_v", F.array(*[F.lit(m) for m in marks]), accuracy),
+    ).first()
+    inside, passed = F.lit(rows < 5 * accuracy), F.lit(0)
+    for low, high in zip(bounds[::2], bounds[1::2]) if rows else ():
         inside = inside | F.col("_v").between(low, high)
         passed = passed + (F.col("_v") > high).cast("int")
     counted = (
@@ -48,28 +43,30 @@ def percentile_points(df: DataFrame, value: str, percents, accuracy: int = ACCUR
         .agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_first"))
     )
     ordered = running_sum(counted, "_n", [F.asc("_first"), F.asc("_in")], "_upto")
-    rows = ordered.agg(F.sum("_n").alias("n")).scalar()
-    picks = []
+    # Rows from a gap stand for many values; a percentile that falls there is an error.
+    exact = F.when(F.col("_in"), F.col("_first")).otherwise(
+        F.raise_error(F.lit("percentile left its bracket")).cast("double")
+    )
+
+    def value_at(position: int) -> Column:
+        here = (F.col("_upto") > position) & (F.col("_upto") - F.col("_n") <= position)
+        return F.max(F.when(here, exact))
+
+    points, picks = [], []
     for place, p in enumerate(percents):
-        spot = (rows - 1) * F.lit(float(p)) / 100
-        for name, target in (("lo", F.floor(spot)), ("hi", F.ceil(spot))):
-            here = (F.col("_upto") > target) & (F.col("_upto") - F.col("_n") <= target)
-            exact = F.when(
-                here & ~F.col("_in"), F.raise_error(F.lit("percentile left its bracket"))
-            )
-            picks.append(
-                F.max(F.when(here, F.coalesce(exact.cast("double"), F.col("_first")))).alias(
-                    f"{name}{place}"
-                )
+        spot = max(rows - 1, 0) * p / 100
+        below = math.floor(spot)
+        picks += [
+            value_at(below).alias(f"low{place}"),
+            value_at(math.ceil(spot)).alias(f"high{place}"),
+        ]
+        low, high = F.col(f"low{place}"), F.col(f"high{place}")
+        points.append(
+            F.struct(
+                F.lit(p).cast("int").alias("percentile"),
+                (low + (high - low) * (spot - below)).alias("value"),
             )
-        picks.append(F.max(spot - F.floor(spot)).alias(f"w{place}"))
-    points = [
-        F.struct(
-            F.lit(p).cast("int").alias("percentile"),
-            _interpolate(F.col(f"lo{i}"), F.col(f"hi{i}"), F.col(f"w{i}")).alias("value"),
         )
-        for i, p in enumerate(percents)
-    ]
     return ordered.agg(*picks).select(F.inline(F.array(*points)))
 
 
@@ -146,3 +143,12 @@ def describe(df: DataFrame, value: str, percents=QUARTILES, exact: bool = True)
     return rows.unionByName(
         points.select(F.format_string("p%02d", "percentile").alias("statistic"), "value")
     )
+
+
+def describe_table(df: DataFrame, columns, percents=QUARTILES, exact: bool = True) -> DataFrame:
+    """Describe rows of several columns: ``(column_name, statistic, value)``."""
+    parts = [
+        describe(df, c, percents, exact).select(F.lit(c).alias("column_name"), "statistic", "value")
+        for c in columns
+    ]
+    return reduce(DataFrame.unionByName, parts)

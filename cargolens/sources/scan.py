@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import year_of
 from ..operators.clean import standard_names
 from ..operators.filters import matching
+from ..operators.running import numbered
 from ..schema import RAW_SCHEMA, present
 
 # File texts read as missing.
@@ -89,9 +90,20 @@ def filtered(df: DataFrame, limit_rows: int | None = None, **choices) -> DataFra
     return rows if limit_rows is None else rows.limit(limit_rows)
 
 
-def page(df: DataFrame, size: int, number: int = 1, keys=PAGE_KEYS, then=()) -> DataFrame:
-    """Page ``number`` (from 1) in key order; ``then`` names columns that break ties."""
-    return df.orderBy(*keys, *then).offset((number - 1) * size).limit(size)
+def page(
+    df: DataFrame, size: int, number: int = 1, keys=PAGE_KEYS, then=(), deep: int = 100_000
+) -> DataFrame:
+    """Page ``number`` (from 1) in key order; ``then`` names columns that break ties.
+
+    An offset makes the driver merge all rows up to the page, so pages beyond ``deep``
+    rows number the sorted rows on the executors instead; that needs a total order.
+    ``page_after`` is the cheap way to walk through many pages.
+    """
+    order, last = [F.asc(c) for c in (*keys, *then)], size * number
+    if last <= deep:
+        return df.orderBy(*order).offset(last - size).limit(size)
+    rows = numbered(df, order, "_number")
+    return rows.where(F.col("_number").between(last - size + 1, last)).drop("_number")
 
 
 def page_after(df: DataFrame, last, size: int, keys=PAGE_KEYS) -> DataFrame:

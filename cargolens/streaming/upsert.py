@@ -70,13 +70,18 @@ def upsert(
     """
     staging = staging or scratch_path(spark, "upsert")
     if not _exists(spark, f"{staging}/_SUCCESS"):
-        months = touched_months(batch)
-        if not months:
-            return []
-        stored = None
-        if _exists(spark, store):
+        if not _exists(spark, store):
+            merged(None, batch, keys).write.mode("overwrite").parquet(staging)
+        else:
+            # Read twice, for its months and for the merge; a batch is small beside the store.
+            batch = batch.persist()
+            months = touched_months(batch)
+            if not months:
+                batch.unpersist()
+                return []
             stored = spark.read.parquet(store).where(_in_months(months))
-        merged(stored, batch, keys).write.mode("overwrite").parquet(staging)
+            merged(stored, batch, keys).write.mode("overwrite").parquet(staging)
+            batch.unpersist()
     rows = spark.read.parquet(staging)
     (
         rows.hint("rebalance", *PARTITION_COLUMNS)

@@ -54,6 +54,14 @@ def test_stored_table_prunes_folders(spark):
     assert df.count() == imports_fact(spark, SF).where("year = 2024 AND country_description = 'NATION_1'").count()
 
 
+def test_deep_pages_equal_shallow_ones(spark, many_blocks):
+    df = spark.range(0, 1000, 1, 7).select((F.col("id") * 37 % 1000).alias("k"))
+    for number in (1, 4, 10):
+        shallow = [r[0] for r in scan.page(df, 100, number, ["k"]).collect()]
+        deep = sorted(r[0] for r in scan.page(df, 100, number, ["k"], deep=0).collect())
+        assert deep == shallow
+
+
 def test_pages_cover_the_table_once(spark):
     keys = ("year", "month_number", "country_code", "commodity_code")
     df = imports_fact(spark, SF, *keys).distinct().where("year = 2024").persist()

@@ -286,6 +286,23 @@ def describe_values(spark, sf_dir):
     return rounded(percentiles.describe(imports_fact(spark, sf_dir, "valuecif"), "valuecif"), value=2)
 
 
+_DESCRIBED = ("weight", "quantity")
+
+
+@query(
+    "A26",
+    " "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, * FROM ({_describe_sql('records', c, (25, 50, 75), 4)})"
+        for c in _DESCRIBED
+    ),
+    CLEAN_SQL,
+)
+def describe_cleaned(spark, sf_dir):
+    df = clean.clean_records(imports_raw(spark, sf_dir, *_DESCRIBED, "unit_quantity"))
+    return rounded(percentiles.describe_table(df, _DESCRIBED), value=4)
+
+
 # ---------------------------------------------------------------- scans and sinks
 
 _ALL = ", ".join(RAW_COLUMNS)
@@ -339,6 +356,12 @@ def ordered_page(spark, sf_dir):
     return scan.page(imports_fact(spark, sf_dir), 100, 3, then=_TIES)
 
 
+@query("S5", f" SELECT * FROM imports ORDER BY {_PAGE_ORDER} LIMIT 100 OFFSET 40000")
+def deep_page(spark, sf_dir):
+    """Far behind the first rows: the rows are numbered on the executors."""
+    return scan.page(imports_fact(spark, sf_dir), 100, 401, then=_TIES, deep=10_000)
+
+
 @query(
     "S5",
     """, g AS (SELECT year, month_number, country_code, commodity_code, sum(valuecif)::DOUBLE AS valuecif

@@ -46,39 +46,55 @@ def _amount(factor):
     return (F.col("l_extendedprice") * factor * 100 * scale).cast("decimal(20,2)")
 
 
-def _expressions():
-    mode = F.when(F.col("l_returnflag") == "A", "AIR").when(F.col("l_returnflag") == "N", "SEA")
-    unit = F.element_at(
-        F.array(*[F.lit(u) for u in ("Number", "Litres", "Kilograms", "Tonnes")]),
-        (F.col("l_linenumber") % 4 + 1).cast("int"),
-    )
-    return {
-        "year": F.year("l_shipdate") + 24,
-        "month_number": F.month("l_shipdate"),
-        "month": F.date_format("l_shipdate", "MMMM"),
-        "mode_description": mode.otherwise("POST"),
-        "commodity_code": (F.col("p_partkey") * 7919 % 100000).cast("string"),
-        "commodity_description": F.concat("p_type", F.lit(" size "), F.col("p_size").cast("string")),
-        "country_code": F.col("_country").cast("string"),
-        "country_description": F.col("country_name"),
-        "ausport_code": F.col("c_nationkey").cast("string"),
-        "ausport_description": F.col("port_name"),
-        "osport_code": F.col("l_suppkey").cast("string"),
-        "osport_description": F.col("s_name"),
-        "state": F.col("r_name"),
-        "weight": F.when(F.col("p_size") == 1, 0.0).otherwise(
-            F.col("l_quantity") * F.col("p_size") / 100
-        ),
-        "valuefob": _amount(1 - F.col("l_discount")),
-        "valuecif": _amount(1 + F.col("l_tax")),
-        "quantity": F.col("l_quantity"),
-        "unit_quantity": unit,
-    }
+def _mode():
+    flag = F.col("l_returnflag")
+    return F.when(flag == "A", "AIR").when(flag == "N", "SEA").otherwise("POST")
+
+
+def _unit():
+    names = F.array(*[F.lit(u) for u in ("Number", "Litres", "Kilograms", "Tonnes")])
+    return F.element_at(names, (F.col("l_linenumber") % 4 + 1).cast("int"))
+
+
+def _weight():
+    tonnes = F.col("l_quantity") * F.col("p_size") / 100
+    return F.when(F.col("p_size") == 1, 0.0).otherwise(tonnes)
+
+
+_EXPRESSIONS = {
+    "year": lambda: F.year("l_shipdate") + 24,
+    "month_number": lambda: F.month("l_shipdate"),
+    "month": lambda: F.date_format("l_shipdate", "MMMM"),
+    "mode_description": _mode,
+    "commodity_code": lambda: (F.col("p_partkey") * 7919 % 100000).cast("string"),
+    "commodity_description": lambda: F.concat(
+        "p_type", F.lit(" size "), F.col("p_size").cast("string")
+    ),
+    "country_code": lambda: F.col("_country").cast("string"),
+    "country_description": lambda: F.col("country_name"),
+    "ausport_code": lambda: F.col("c_nationkey").cast("string"),
+    "ausport_description": lambda: F.col("port_name"),
+    "osport_code": lambda: F.col("l_suppkey").cast("string"),
+    "osport_description": lambda: F.col("s_name"),
+    "state": lambda: F.col("r_name"),
+    "weight": _weight,
+    "valuefob": lambda: _amount(1 - F.col("l_discount")),
+    "valuecif": lambda: _amount(1 + F.col("l_tax")),
+    "quantity": lambda: F.col("l_quantity"),
+    "unit_quantity": _unit,
+}
+
+
+#: Schemas by path, so that a table's footer is read for its types only once.
+_SCHEMAS: dict = {}
 
 
 def _joined(spark: SparkSession, sf_dir: str, columns) -> DataFrame:
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        path = f"{sf_dir}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = spark.read.parquet(path).schema
+        return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     columns = set(columns)
     df = spread(table("lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
@@ -112,8 +128,7 @@ def _joined(spark: SparkSession, sf_dir: str, columns) -> DataFrame:
 def imports_fact(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Cleaned import records with the named columns, or all of them."""
     columns = columns or FACT_COLUMNS
-    expressions = _expressions()
-    return _joined(spark, sf_dir, columns).select(*[expressions[c].alias(c) for c in columns])
+    return _joined(spark, sf_dir, columns).select(*[_EXPRESSIONS[c]().alias(c) for c in columns])
 
 
 RAW_HEADERS = {
@@ -139,45 +154,61 @@ RAW_HEADERS = {
 def imports_raw(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Raw import records as text, with deterministic defects and exact duplicates."""
     columns = columns or tuple(RAW_HEADERS)
-    base = _joined(spark, sf_dir, columns)
-    good = _expressions()
-    line, part, supp = F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
-    text = good["commodity_description"]
-    nbsp = "\u00a0"
-    litres = F.element_at(
-        F.array(*[F.lit(u) for u in ("Litres", "Litres Al", "litres al", "LITRES AL")]),
-        (F.col("l_orderkey") % 4 + 1).cast("int"),
+    df = _joined(spark, sf_dir, columns).select(
+        *[(_RAW[c] if c in _RAW else _EXPRESSIONS[c])().cast("string").alias(RAW_HEADERS[c]) for c in columns],
+        "l_orderkey",
     )
-    fob = good["valuefob"] * F.when(line == 7, -1).otherwise(1)
-    quantity = F.col("l_quantity") + F.when(F.col("l_discount") == 0.05, 0.5).otherwise(0.0)
-    bad = {
-        "month": F.when(
-            part % 31 != 0, F.concat(good["month"], F.lit(" "), good["year"].cast("string"))
-        ),
-        "commodity_description": F.when(
-            line == 1, F.concat(F.lit("  "), F.replace(text, F.lit(" "), F.lit("   ")), F.lit(" "))
-        )
+    copies = F.when(F.col("l_orderkey") % 50 == 0, 2).otherwise(1)
+    return df.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy", "l_orderkey")
+
+
+def _raw_month():
+    text = F.concat(_EXPRESSIONS["month"](), F.lit(" "), _EXPRESSIONS["year"]().cast("string"))
+    return F.when(F.col("l_partkey") % 31 != 0, text)
+
+
+def _raw_commodity():
+    text, line, nbsp = _EXPRESSIONS["commodity_description"](), F.col("l_linenumber"), F.lit("\u00a0")
+    wide = F.concat(F.lit("  "), F.replace(text, F.lit(" "), F.lit("   ")), F.lit(" "))
+    return (
+        F.when(line == 1, wide)
         .when(line == 2, F.concat(F.lit("\t"), text, F.lit("\n")))
         .when(line == 3, F.concat(F.lit('"'), text, F.lit('"')))
         .when(line == 4, F.concat(F.lit("'"), text, F.lit(" '")))
-        .when(line == 5, F.concat(F.lit(nbsp), text, F.lit(nbsp)))
-        .otherwise(text),
-        "country_description": F.when(supp % 17 != 0, good["country_description"]),
-        "state": F.when(supp % 19 == 0, "nan").otherwise(good["state"]),
-        "weight": F.when(part % 23 == 0, "n/a")
-        .when(part % 29 == 0, "1d")
-        .otherwise(good["weight"].cast("decimal(12,4)").cast("string")),
-        "valuefob": fob.cast("decimal(20,2)").cast("string"),
-        "valuecif": good["valuecif"].cast("string"),
-        "quantity": quantity.cast("decimal(12,1)").cast("string"),
-        "unit_quantity": F.when(line % 4 == 1, litres).otherwise(good["unit_quantity"]),
-    }
-    df = base.select(
-        *[bad.get(c, good[c]).cast("string").alias(RAW_HEADERS[c]) for c in columns],
-        "l_orderkey",
+        .when(line == 5, F.concat(nbsp, text, nbsp))
+        .otherwise(text)
     )
-    copies = F.when(F.col("l_orderkey") % 50 == 0, 2).otherwise(1)
-    return df.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy", "l_orderkey")
+
+
+def _raw_weight():
+    part = F.col("l_partkey")
+    good = _weight().cast("decimal(12,4)").cast("string")
+    return F.when(part % 23 == 0, "n/a").when(part % 29 == 0, "1d").otherwise(good)
+
+
+def _raw_fob():
+    sign = F.when(F.col("l_linenumber") == 7, -1).otherwise(1)
+    return (_EXPRESSIONS["valuefob"]() * sign).cast("decimal(20,2)")
+
+
+def _raw_unit():
+    names = F.array(*[F.lit(u) for u in ("Litres", "Litres Al", "litres al", "LITRES AL")])
+    litres = F.element_at(names, (F.col("l_orderkey") % 4 + 1).cast("int"))
+    return F.when(F.col("l_linenumber") % 4 == 1, litres).otherwise(_unit())
+
+
+_RAW = {
+    "month": _raw_month,
+    "commodity_description": _raw_commodity,
+    "country_description": lambda: F.when(F.col("l_suppkey") % 17 != 0, F.col("country_name")),
+    "state": lambda: F.when(F.col("l_suppkey") % 19 == 0, "nan").otherwise(F.col("r_name")),
+    "weight": _raw_weight,
+    "valuefob": _raw_fob,
+    "quantity": lambda: (
+        F.col("l_quantity") + F.when(F.col("l_discount") == 0.05, 0.5).otherwise(0.0)
+    ).cast("decimal(12,1)"),
+    "unit_quantity": _raw_unit,
+}
 
 
 _SCALE = "CASE p_size WHEN 50 THEN 60 WHEN 49 THEN 25 WHEN 48 THEN 8 ELSE 1 END"
