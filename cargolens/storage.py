@@ -31,3 +31,9 @@ def materialize(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on any file system Spark can read."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ranking import top_in_group
 from ..schema import GRAIN, PARTITION_COLUMNS
-from ..storage import scratch_path
+from ..storage import path_exists, scratch_path
 
 MAX_TOUCHED = 10_000
 
@@ -54,11 +54,6 @@ def touched_months(batch: DataFrame) -> list[tuple]:
     return sorted(((r[0], r[1]) for r in rows), key=str)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-
-
 def upsert(
     spark: SparkSession, store: str, batch: DataFrame, keys=GRAIN, staging: str | None = None
 ) -> list[tuple]:
@@ -69,8 +64,8 @@ def upsert(
     again with the same ``staging`` repeats only the swap. Returns the months.
     """
     staging = staging or scratch_path(spark, "upsert")
-    if not _exists(spark, f"{staging}/_SUCCESS"):
-        if not _exists(spark, store):
+    if not path_exists(spark, f"{staging}/_SUCCESS"):
+        if not path_exists(spark, store):
             merged(None, batch, keys).write.mode("overwrite").parquet(staging)
         else:
             # Read twice, for its months and for the merge; a batch is small beside the store.

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from cargolens import schema
 from cargolens.operators import aggregates
+from cargolens.plans.refresh import refresh
 from cargolens.storage import scratch_path
 from cargolens.streaming import totals, upsert
 from verification.imports_view import imports_fact
@@ -136,6 +137,25 @@ def test_freshness_and_completeness(spark):
     assert upsert.completeness(offered, 3).first()["is_complete"] is False
 
 
+def raw_rows(spark, *rows):
+    return spark.createDataFrame(rows, "month string, country_code string, valuecif string, weight string")
+
+
+def test_refresh_outcomes(spark, tmp_path):
+    store, summary = str(tmp_path / "store"), str(tmp_path / "summary")
+    first = raw_rows(spark, ("May 2024", "a", "1", "2"), ("June 2024", "a", "2", "2"), ("May 2020", "a", "5", "2"))
+    assert refresh(spark, first, store, years=[2024], floor=2) == "created"
+    assert spark.read.parquet(store).count() == 2
+    assert refresh(spark, first, store, years=[2024], floor=2) == "current"
+    newer = raw_rows(spark, ("June 2024", "a", "9", "2"), ("July 2024", "a", "3", "2"))
+    assert refresh(spark, newer, store, summary, floor=2) == "merged"
+    values = {(r["month_number"], float(r["valuecif"])) for r in spark.read.parquet(store).collect()}
+    assert values == {(5, 1.0), (6, 9.0), (7, 3.0)}
+    assert (tmp_path / "summary/summary_statistics/_SUCCESS").exists()
+    assert refresh(spark, first, store, floor=100) == "rebuilt"
+    assert spark.read.parquet(store).count() == 3
+
+
 def test_conform_casts_money_and_fills_columns(spark):
     df = spark.createDataFrame([(2024, 12.345)], "year int, valuefob double")
     row = schema.conform(df).first()

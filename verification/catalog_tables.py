@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cargolens import schema
 from cargolens.operators import clean, percentiles, quality
-from cargolens.plans import reports
+from cargolens.plans import refresh, reports
 from cargolens.sources import scan, sinks
 from cargolens.storage import scratch_path
 from cargolens.streaming import totals, upsert
@@ -509,6 +509,25 @@ def _drops(df, folder):
     _batch(df).write.parquet(f"{folder}/second")
 
 
+@query(
+    "R1 R20",
+    """ SELECT year, count(*) AS records, sum(CAST(valuefob AS DECIMAL(20,2)))::DOUBLE AS valuefob,
+    sum(CAST(valuecif AS DECIMAL(20,2)))::DOUBLE AS valuecif
+    FROM cleaned WHERE year IN (2024, 2025) GROUP BY 1""",
+    CLEAN_SQL,
+)
+def refreshed_store(spark, sf_dir):
+    """A raw extract of two years through the whole refresh."""
+    store = scratch_path(spark, "store")
+    refresh.refresh(spark, raw(spark, sf_dir), store, years=[2024, 2025])
+    grouped = spark.read.parquet(store).groupBy("year")
+    return grouped.agg(
+        F.count(F.lit(1)).alias("records"),
+        F.sum("valuefob").cast("double").alias("valuefob"),
+        F.sum("valuecif").cast("double").alias("valuecif"),
+    )
+
+
 @query("R20 I1", _merged_sql(schema.GRAIN))
 def streamed_upsert(spark, sf_dir):
     """The same through a file stream run once per arrival, with one checkpoint."""
