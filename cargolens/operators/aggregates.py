@@ -117,6 +117,8 @@ def dimension_totals(df: DataFrame, dimensions, measures=("valuecif",)) -> DataF
     Grouping sets with one column each: map-side aggregation leaves one row per
     member and task, and a single shuffle serves all dimensions. Rows are
     ``(dimension, member, record_count, measures)``; the whole table is ``total``.
+    Callers that take several lists from it store it first (``materialize``): a filter on
+    the dimension would otherwise move below the aggregate and split it into many scans.
     """
     dimensions = list(dimensions)
     measures = present(df, measures)
@@ -136,13 +138,8 @@ def dimension_totals(df: DataFrame, dimensions, measures=("valuecif",)) -> DataF
         alone = everything - 2 ** (len(dimensions) - 1 - place)
         name = F.when(F.col("_set") == alone, dimension).otherwise(name)
         member = F.when(F.col("_set") == alone, F.col(dimension)).otherwise(member)
-    # Every group has rows. Naming the count keeps a later filter on the dimension above
-    # the aggregate, so several lists taken from this frame share its one scan and shuffle.
     return grouped.select(
-        F.when(F.col("record_count") > 0, name).alias("dimension"),
-        member.alias("member"),
-        "record_count",
-        *measures,
+        name.alias("dimension"), member.alias("member"), "record_count", *measures
     ).where((F.col("dimension") == "total") | F.col("member").isNotNull())
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..storage import materialize
 from .aggregates import dimension_totals, doubles
 from .ranking import ranked_top_k
 
@@ -51,7 +52,7 @@ def filter_options(df: DataFrame, countries: int = 20, all_years_up_to: int = 5)
     One scan feeds all three lists. Years are preset to all of them up to
     ``all_years_up_to``, else to the last two; months to all, countries to none.
     """
-    members = dimension_totals(df, ["year", "month", "country_description"])
+    members = materialize(dimension_totals(df, ["year", "month", "country_description"]))
     # Years and months are calendar values, so their windows hold a handful of rows.
     year = F.col("member").cast("int")
     every = W.partitionBy("dimension")

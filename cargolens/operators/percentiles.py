@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from .aggregates import mean
@@ -16,7 +16,14 @@ ACCURACY = 10_000
 
 
 def percentile_points(df: DataFrame, value: str, percents, accuracy: int = ACCURACY) -> DataFrame:
-    """One row per percentile: ``(percentile, value)``, exact, on any number of rows.
+    """One row per percentile: ``(percentile, value)``, exact, on any number of rows."""
+    return points_and_totals(df, value, percents, (), accuracy)[0]
+
+
+def points_and_totals(
+    df: DataFrame, value: str, percents, totals, accuracy: int = ACCURACY
+) -> tuple[DataFrame, Row]:
+    """Percentile rows, and the row of further aggregates taken by their first pass.
 
     A sketch first gives each percentile a narrow bracket that is certain to hold its
     neighbours: two numbers per percentile, which come to the driver with the row count.
@@ -28,11 +35,14 @@ def percentile_points(df: DataFrame, value: str, percents, accuracy: int = ACCUR
     percents = sorted(percents)
     margin = 3.0 / accuracy
     marks = [x for p in percents for x in (max(p / 100 - margin, 0.0), min(p / 100 + margin, 1.0))]
-    data = df.select(F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
-    rows, bounds = data.agg(
-        F.count(F.lit(1)),
-        F.percentile_approx("_v", F.array(*[F.lit(m) for m in marks]), accuracy),
+    v = F.col(value).cast("double")
+    first = df.agg(
+        F.count(v).alias("_rows"),
+        F.percentile_approx(v, F.array(*[F.lit(m) for m in marks]), accuracy).alias("_bounds"),
+        *totals,
     ).first()
+    rows, bounds = first["_rows"], first["_bounds"]
+    data = df.select(v.alias("_v")).where("_v IS NOT NULL")
     inside, passed = F.lit(rows < 5 * accuracy), F.lit(0)
     for low, high in zip(bounds[::2], bounds[1::2]) if rows else ():
         inside = inside | F.col("_v").between(low, high)
@@ -67,7 +77,7 @@ def percentile_points(df: DataFrame, value: str, percents, accuracy: int = ACCUR
                 (low + (high - low) * (spot - below)).alias("value"),
             )
         )
-    return ordered.agg(*picks).select(F.inline(F.array(*points)))
+    return ordered.agg(*picks).select(F.inline(F.array(*points))), first
 
 
 def approximate_points(df: DataFrame, value: str, percents, accuracy: int = ACCURACY) -> DataFrame:
@@ -85,11 +95,6 @@ def approximate_points(df: DataFrame, value: str, percents, accuracy: int = ACCU
     )
 
 
-def exact_median(df: DataFrame, value: str) -> Column:
-    """Median as a scalar subquery."""
-    return percentile_points(df, value, [50]).select("value").scalar()
-
-
 def group_medians(df: DataFrame, group: str, value: str, out: str = "median") -> DataFrame:
     """Exact median of each group, however large one group is.
 
@@ -124,22 +129,21 @@ def group_medians(df: DataFrame, group: str, value: str, out: str = "median") ->
 def describe(df: DataFrame, value: str, percents=QUARTILES, exact: bool = True) -> DataFrame:
     """Rows ``(statistic, value)``: count, mean, std, min, max and the percentiles."""
     v = F.col(value).cast("double")
-    moments = df.agg(
+    moments = [
         F.count(v).cast("double").alias("count"),
         mean(value).alias("mean"),
         F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"),
         F.max(v).alias("max"),
-    )
+    ]
+    if exact:
+        points, found = points_and_totals(df, value, percents or QUARTILES, moments)
+    else:
+        points, found = approximate_points(df, value, percents or QUARTILES), df.agg(*moments).first()
     names = ["count", "mean", "std", "min", "max"]
-    rows = moments.select(
-        F.inline(
-            F.array(*[F.struct(F.lit(n).alias("statistic"), F.col(n).alias("value")) for n in names])
-        )
+    rows = df.sparkSession.createDataFrame(
+        [(n, found[n]) for n in names], "statistic string, value double"
     )
-    if not percents:
-        return rows
-    points = (percentile_points if exact else approximate_points)(df, value, percents)
     return rows.unionByName(
         points.select(F.format_string("p%02d", "percentile").alias("statistic"), "value")
     )

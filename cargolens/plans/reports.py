@@ -22,6 +22,7 @@ from ..operators.percentiles import QUARTILES, describe
 from ..operators.ranking import argmax_order, ranked_top_k, top_in_group
 from ..operators.running import with_running_share
 from ..schema import MEASURES
+from ..storage import materialize
 
 PERCENTS = (10, 25, 50, 75, 90, 95, 99)
 LEADER, PREMIUM, STANDARD = "Market Leader", "Premium Product", "Standard"
@@ -242,8 +243,10 @@ def key_insights(df: DataFrame) -> DataFrame:
     the first to the second year, and the shares of the top 5 countries and top 10
     commodities. Shares refer to the members of a dimension.
     """
-    members = dimension_totals(df, [*INSIGHTS, "year"], ("valuecif", "valuefob")).where(
-        F.col("dimension") != "total"
+    members = materialize(
+        dimension_totals(df, [*INSIGHTS, "year"], ("valuecif", "valuefob")).where(
+            F.col("dimension") != "total"
+        )
     )
     measure = F.when(
         F.col("dimension").isin("mode_description", "year"), F.col("valuefob")
@@ -311,7 +314,7 @@ def summary_members(df: DataFrame, tops: dict[str, int] | None = None) -> DataFr
     """Top lists, mode and state values and years as ``(section, rank, member, valuecif)``."""
     tops = tops or SUMMARY_TOPS
     dimensions = [*tops, *SUMMARY_MAPS, "year"]
-    members = dimension_totals(df, dimensions).where(F.col("dimension") != "total")
+    members = materialize(dimension_totals(df, dimensions).where(F.col("dimension") != "total"))
     order = [F.desc("valuecif"), F.asc("member")]
     place = F.row_number().over(W.partitionBy("dimension").orderBy(*order))
     ranked = None
