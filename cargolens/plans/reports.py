@@ -11,7 +11,6 @@ from ..operators.aggregates import (
     column_totals,
     dimension_totals,
     doubles,
-    grand_totals,
     group_profile,
     group_totals,
     total,
@@ -313,12 +312,18 @@ SUMMARY_MAPS = ("mode_description", "state")
 def summary_members(df: DataFrame, tops: dict[str, int] | None = None) -> DataFrame:
     """Top lists, mode and state values and years as ``(section, rank, member, valuecif)``."""
     tops = tops or SUMMARY_TOPS
-    dimensions = [*tops, *SUMMARY_MAPS, "year"]
-    members = materialize(dimension_totals(df, dimensions).where(F.col("dimension") != "total"))
+    return _ranked_members(_summary_totals(df, tops, ["valuecif"]), tops)
+
+
+def _summary_totals(df: DataFrame, tops: dict[str, int], measures) -> DataFrame:
+    return materialize(dimension_totals(df, [*tops, *SUMMARY_MAPS, "year"], measures))
+
+
+def _ranked_members(members: DataFrame, tops: dict[str, int]) -> DataFrame:
     order = [F.desc("valuecif"), F.asc("member")]
     place = F.row_number().over(W.partitionBy("dimension").orderBy(*order))
     ranked = None
-    for dimension in dimensions:
+    for dimension in [*tops, *SUMMARY_MAPS, "year"]:
         part = members.where(F.col("dimension") == dimension)
         if dimension in tops:
             part = ranked_top_k(part, "valuecif", "member", tops[dimension])
@@ -338,7 +343,8 @@ def summary_statistics(df: DataFrame, tops: dict[str, int] | None = None) -> Dat
         "commodity_description": ("top_commodities", "commodity"),
         "ausport_description": ("top_ports", "port"),
     }
-    members = summary_members(df, tops)
+    stored = _summary_totals(df, tops, MEASURES)
+    members = _ranked_members(stored, tops)
 
     def listed(section: str, label: str):
         row = F.struct(
@@ -367,18 +373,21 @@ def summary_statistics(df: DataFrame, tops: dict[str, int] | None = None) -> Dat
         mapped("state").alias("states"),
     )
     packed = lists.select(F.struct(*lists.columns).alias("s")).scalar()
-    totals = grand_totals(df, MEASURES, ())
     names = {
-        "total_valuefob": "total_value_fob",
-        "total_valuecif": "total_value_cif",
-        "total_weight": "total_weight",
-        "total_quantity": "total_quantity",
+        "valuefob": "total_value_fob",
+        "valuecif": "total_value_cif",
+        "weight": "total_weight",
+        "quantity": "total_quantity",
     }
-    return totals.select(
-        "total_records",
-        *[F.col(c).alias(n) for c, n in names.items()],
-        packed.alias("s"),
-    ).select("total_records", *names.values(), "s.*")
+    return (
+        stored.where(F.col("dimension") == "total")
+        .select(
+            F.col("record_count").alias("total_records"),
+            *[F.col(c).cast("double").alias(n) for c, n in names.items()],
+            packed.alias("s"),
+        )
+        .select("total_records", *names.values(), "s.*")
+    )
 
 
 def report_lines(summary: DataFrame, top_countries: int = 15, rule: int = 60) -> DataFrame:

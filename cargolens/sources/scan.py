@@ -120,6 +120,7 @@ def page_after(df: DataFrame, last, size: int, keys=PAGE_KEYS) -> DataFrame:
     return df.where((F.col(keys[0]) >= F.lit(last[0])) & later).orderBy(*keys).limit(size)
 
 
+# Columns shown in a preview.
 PREVIEW_COLUMNS = (
     "month",
     "year",

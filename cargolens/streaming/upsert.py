@@ -97,13 +97,16 @@ def upsert_stream(
     clean=None,
     keys=GRAIN,
     files_per_batch: int | None = None,
+    file_format: str = "parquet",
+    **options,
 ):
     """Upsert every file not seen before and stop; the checkpoint records seen files.
 
+    ``options`` belong to the file format, such as ``header`` for CSV arrivals.
     ``clean`` runs before the merge, so stored and new rows have the same columns. A
     batch that is repeated after a failure reuses its own staging folder.
     """
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).format(file_format).options(**options)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
@@ -112,7 +115,7 @@ def upsert_stream(
         upsert(batch.sparkSession, store, rows, keys, f"{checkpoint}/staging/{batch_id}")
 
     return (
-        reader.parquet(incoming)
+        reader.load(incoming)
         .writeStream.foreachBatch(apply)
         .option("checkpointLocation", f"{checkpoint}/state")
         .trigger(availableNow=True)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cargolens import schema
 from cargolens.operators import aggregates
-from cargolens.plans.refresh import refresh
+from cargolens.plans.refresh import clean_for_store, refresh
 from cargolens.storage import scratch_path
 from cargolens.streaming import totals, upsert
 from verification.imports_view import imports_fact
@@ -114,6 +114,20 @@ def test_stream_cleans_before_the_merge(spark):
     assert rows_of(spark, f"{root}/store") == [(2024, 5, "a", 0.0), (2024, 5, "b", 7.0)]
 
 
+def test_stream_of_raw_csv(spark, tmp_path):
+    (tmp_path / "incoming").mkdir()
+    (tmp_path / "incoming/a.csv").write_text(
+        "Month,Country Code,Valuecif\nMay 2024,a,-1\nMay 2024,b,7\nMay 2024,b,7\n"
+    )
+    store = str(tmp_path / "store")
+    upsert.upsert_stream(
+        spark, str(tmp_path / "incoming"), "`Month` string, `Country Code` string, `Valuecif` string",
+        store, str(tmp_path / "checkpoint"), clean_for_store, KEYS, file_format="csv", header=True,
+    ).awaitTermination()
+    values = {(r["country_code"], float(r["valuecif"])) for r in spark.read.parquet(store).collect()}
+    assert values == {("a", 0.0), ("b", 7.0)}
+
+
 def test_running_totals_stream_equals_batch(spark):
     df = imports_fact(spark, SF, *schema.MEASURES, "year")
     root = scratch_path(spark, "totals")
