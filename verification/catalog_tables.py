@@ -11,12 +11,11 @@ from cargolens.sources import scan, sinks
 from cargolens.storage import scratch_path
 from cargolens.streaming import totals, upsert
 
-from .catalog import COUNTRY, ITEM, MEASURES, SUMMARY_COLUMNS, longs, query, rounded, two_years
+from .catalog import COUNTRY, ITEM, MEASURES, SUMMARY_COLUMNS, longs, query, rounded
 from .catalog import _describe_sql, _summary_sql
 from .imports_view import (
     CLEAN_SQL,
     FACT_COLUMNS,
-    FACT_SQL,
     RAW_SQL,
     imports_fact,
     imports_raw,
