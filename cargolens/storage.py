@@ -1,7 +1,12 @@
-"""Shared-folder helpers: lineage cuts and scratch tables that outlive executors."""
+"""Shared-folder helpers: lineage cuts and scratch tables that outlive executors.
+
+Scratch tables of one application lie together under ``<spark.checkpoint.dir>/cargolens/<application id>``,
+so that whatever a job leaves behind can be removed with one call (or one delete) when its results are stored.
+"""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,20 +14,32 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only in local mode."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder in ``spark.checkpoint.dir``; a temporary one only for a single local process without it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="cargolens-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """Where this application's scratch tables lie."""
+    return f"{shared_folder(spark)}/cargolens/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
-    return f"{shared_folder(spark)}/cargolens/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """The frame written to a scratch table and read again: later reads prune columns and need no lineage."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -33,7 +50,23 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, on any file system Spark can read."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package wrote; nothing happens if it is gone."""
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all scratch tables of this application, once its results are stored elsewhere."""
+    remove_path(spark, scratch_root(spark))
