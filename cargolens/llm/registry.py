@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from cargolens.llm import line_dedup
+from cargolens.llm import language_id, line_dedup, simhash
 
 QUERIES = {
+    "op10_simhash": simhash.op10_simhash,
+    "op7_language_id": language_id.op7_language_id,
     "op6_line_dedup": line_dedup.op6_line_dedup,
 }
 ORACLES = {
