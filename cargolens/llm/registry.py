@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from cargolens.llm import language_id, line_dedup, simhash
+from cargolens.llm import language_id, line_dedup, packing, simhash
 
 QUERIES = {
     "op10_simhash": simhash.op10_simhash,
     "op7_language_id": language_id.op7_language_id,
+    "op5_packing": packing.op5_packing,
     "op6_line_dedup": line_dedup.op6_line_dedup,
 }
 ORACLES = {
