@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from cargolens.llm import language_id, line_dedup, packing, simhash
+from cargolens.llm import language_id, license_scan, line_dedup, packing, simhash
 
 QUERIES = {
+    "op1_license_scan": license_scan.op1_license_scan,
     "op10_simhash": simhash.op10_simhash,
     "op7_language_id": language_id.op7_language_id,
     "op5_packing": packing.op5_packing,
     "op6_line_dedup": line_dedup.op6_line_dedup,
 }
 ORACLES = {
+    "op1_license_scan": license_scan.OP1_SQL,
     "op6_line_dedup": line_dedup.OP6_SQL,
 }
