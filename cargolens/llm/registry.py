@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from cargolens.llm import language_id, license_scan, line_dedup, packing, simhash
+from cargolens.llm import language_id, license_scan, line_dedup, merkle, packing, simhash
 
 QUERIES = {
+    "op8_merkle": merkle.op8_fingerprints,
     "op1_license_scan": license_scan.op1_license_scan,
     "op10_simhash": simhash.op10_simhash,
     "op7_language_id": language_id.op7_language_id,
