@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from cargolens.llm import language_id, license_scan, line_dedup, merkle, packing, simhash
+from cargolens.llm import language_id, license_scan, line_dedup, merkle, packing, simhash, trie_bpe
 
 QUERIES = {
+    "op3_trie_bpe": trie_bpe.op3_trie_bpe,
     "op8_merkle": merkle.op8_fingerprints,
     "op1_license_scan": license_scan.op1_license_scan,
     "op10_simhash": simhash.op10_simhash,
