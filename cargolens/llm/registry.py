@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from cargolens.llm import language_id, license_scan, line_dedup, merkle, packing, simhash, trie_bpe
+from cargolens.llm import embedding_dedup, language_id, license_scan, line_dedup, merkle, packing, simhash, trie_bpe
 
 QUERIES = {
+    "op9_embedding_dedup": embedding_dedup.op9_embedding_dedup,
     "op3_trie_bpe": trie_bpe.op3_trie_bpe,
     "op8_merkle": merkle.op8_fingerprints,
     "op1_license_scan": license_scan.op1_license_scan,
@@ -14,6 +15,7 @@ QUERIES = {
     "op6_line_dedup": line_dedup.op6_line_dedup,
 }
 ORACLES = {
+    "op9_embedding_dedup": embedding_dedup.OP9_SQL,
     "op1_license_scan": license_scan.OP1_SQL,
     "op6_line_dedup": line_dedup.OP6_SQL,
 }
