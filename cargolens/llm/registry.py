@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from cargolens.llm import embedding_dedup, language_id, license_scan, line_dedup, merkle, packing, simhash, trie_bpe
+from cargolens.llm import embedding_dedup, language_id, license_scan, line_dedup, merkle, neural_lm, packing, simhash, trie_bpe
 
 QUERIES = {
+    "op4_neural_lm": neural_lm.op4_neural_lm,
     "op9_embedding_dedup": embedding_dedup.op9_embedding_dedup,
     "op3_trie_bpe": trie_bpe.op3_trie_bpe,
     "op8_merkle": merkle.op8_fingerprints,
