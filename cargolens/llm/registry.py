@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from cargolens.llm import embedding_dedup, language_id, license_scan, line_dedup, merkle, neural_lm, packing, simhash, trie_bpe
+from cargolens.llm import embedding_dedup, language_id, license_scan, line_dedup, merkle, neural_lm, packing, simhash, trie_bpe, warc
 
 QUERIES = {
+    "op2_warc_derivatives": warc.op2_warc_derivatives,
     "op4_neural_lm": neural_lm.op4_neural_lm,
     "op9_embedding_dedup": embedding_dedup.op9_embedding_dedup,
     "op3_trie_bpe": trie_bpe.op3_trie_bpe,
@@ -16,6 +17,7 @@ QUERIES = {
     "op6_line_dedup": line_dedup.op6_line_dedup,
 }
 ORACLES = {
+    "op2_warc_derivatives": warc.OP2_SQL,
     "op9_embedding_dedup": embedding_dedup.OP9_SQL,
     "op1_license_scan": license_scan.OP1_SQL,
     "op6_line_dedup": line_dedup.OP6_SQL,
