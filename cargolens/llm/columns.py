@@ -17,16 +17,23 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """The frame's columns, whatever characters their names have."""
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
 def packed(df: DataFrame, **own: Column) -> DataFrame:
     """All input columns in one struct ``row`` beside the operator's own: no name can clash."""
-    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(n) for n, c in own.items()])
+    return df.select(F.struct(*columns_of(df)).alias("row"), *[c.alias(n) for n, c in own.items()])
 
 
 def unpacked(df: DataFrame, names: list[str], **own: Column) -> DataFrame:
     """Undo ``packed``: input columns ``names``, of which ``own`` replaces those of the same name (any case) or follows."""
     lower = {n.lower() for n in own}
+    # own columns are computed before the input's names are back: an expression can't meet them as lateral aliases
+    df = df.select("row", *[c.alias(f"own_{i}") for i, c in enumerate(own.values())])
     kept = [F.col("row").getField(c).alias(c) for c in names if c.lower() not in lower]
-    return df.select(*kept, *[c.alias(n) for n, c in own.items()])
+    return df.select(*kept, *[F.col(f"own_{i}").alias(n) for i, n in enumerate(own)])
 
 
 def bucket(value: Column, of: int) -> Column:

@@ -213,15 +213,15 @@ def simhash_groups(
     text_col: str = "text",
     leaf_rows: int = 50_000,
 ) -> DataFrame:
-    """One row ``(doc_id, sign, fingerprint, component_id)`` for each input row.
+    """One row ``(doc_id, sign, fingerprint, component_id, group)`` for each input row.
 
     ``component_id`` is the smallest id that links reach. Null and wordless texts have fingerprint zero and link like
     any other. Repeated rows and ids each give a row. Rows with a null id take part; their component has the smallest
-    non-null id, or null where there is none. ``sign`` is a 64-bit hash of the text, for joining rows back. Other
-    columns are not read. An empty table gives an empty table.
+    non-null id, or null where there is none. ``group`` numbers the component in any case. ``sign`` is a 64-bit hash of
+    the text, for joining rows back. Other columns are not read. An empty table gives an empty table.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    rows = packed(docs.select(id_col, text_col), doc_id=F.col(f"`{id_col}`"), text=text)
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("sign"), fingerprints(F.col("text"), shingle).alias("fp"))
     rows = stored(rows, "simhash")
     prints = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-prints")
@@ -229,8 +229,8 @@ def simhash_groups(
     tree = prints.join(roots, prints["fp"] == roots["node"], "left")
     tree = tree.select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = tree.groupBy("root").agg(F.min("least").alias("component_id"))
-    tree = tree.join(smallest, "root").select("fp", "component_id")
-    return rows.join(tree, "fp").select("doc_id", "sign", F.col("fp").alias("fingerprint"), "component_id")
+    tree = tree.join(smallest, "root").select("fp", "component_id", F.col("root").alias("group"))
+    return rows.join(tree, "fp").select("doc_id", "sign", F.col("fp").alias("fingerprint"), "component_id", "group")
 
 
 def one_of_each_group(docs: DataFrame, shingle: int = 3, max_distance: int = 3) -> DataFrame:
@@ -238,15 +238,13 @@ def one_of_each_group(docs: DataFrame, shingle: int = 3, max_distance: int = 3)
     hash), once even if the same row is repeated. Columns are those of ``docs``."""
     found = simhash_groups(docs, shingle, max_distance)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "sign")
-    rank_of = F.coalesce("component_id", F.col("fingerprint")).alias("group")
-    best = found.select(F.col("component_id").isNull().alias("nameless"), rank_of, order.alias("order"))
-    best = best.groupBy("nameless", "group").agg(F.min("order").alias("order"))
+    best = found.groupBy("group").agg(F.min(order).alias("order"))
     best = best.select(F.col("order.doc_id").alias("id"), F.col("order.sign").alias("sign")).distinct()
     rows = packed(docs, id=F.col("doc_id"), sign=F.xxhash64(F.coalesce("text", F.lit(""))))
     same = F.col("a.id").eqNullSafe(F.col("b.id")) & (F.col("a.sign") == F.col("b.sign"))
     kept = rows.alias("a").join(best.alias("b"), same, "left_semi")
     once = kept.groupBy("id", "sign").agg(F.first("row").alias("row"))
-    return once.select("row.*").select(*docs.columns)
+    return once.select("row.*")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

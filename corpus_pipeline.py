@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cargolens.llm import language_id, line_dedup, packing, simhash
+from cargolens.llm.columns import columns_of
 from cargolens.storage import scratch_path
 
 #: A language below this share of the posterior is not decided.
@@ -16,20 +17,20 @@ LEAST_SCORE = 0.5
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the PPM trees decide, with that language as ``lang``.
+    """Documents whose language the PPM trees decide; a missing ``lang`` is filled in.
 
     The trees learn from the labelled two thirds. Texts without a letter, null texts and undecided ones go; if there
     is nothing to learn from, that is all of them.
     """
     found = language_id.identify(docs, language_id.learnable(docs))
     kept = found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return kept.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*columns_of(docs))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines found in ten or more documents; ``n_chars`` follows the text."""
     cleaned = line_dedup.dedup_lines(docs)
-    return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*columns_of(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
