@@ -141,22 +141,3 @@ def dimension_totals(df: DataFrame, dimensions, measures=("valuecif",)) -> DataF
     return grouped.select(
         name.alias("dimension"), member.alias("member"), "record_count", *measures
     ).where((F.col("dimension") == "total") | F.col("member").isNotNull())
-
-
-def sampled_totals(
-    df: DataFrame, keys, measures=MEASURES, sample_rows: int = 2_000_000, seed: int = 7
-) -> DataFrame:
-    """Group sums from a row sample, scaled up; exact while the table is small enough.
-
-    Each row is kept with probability ``sample_rows / rows`` and the sums are divided
-    by that probability. The exact group functions are the default everywhere else.
-    """
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    chance = F.least(F.lit(1.0), F.try_divide(F.lit(float(sample_rows)), rows.cast("double")))
-    sample = keyed(df, *keys).where(F.rand(seed) < chance)
-    return (
-        sample.groupBy(*keys)
-        .agg(*[total(m).cast("double").alias(m) for m in present(df, measures)])
-        .withColumns({m: F.col(m) / chance for m in present(df, measures)})
-    )

@@ -30,22 +30,6 @@ def matching(df: DataFrame, **choices) -> DataFrame:
     return df.where(reduce(lambda a, b: a & b, conditions)) if conditions else df
 
 
-def positive(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.col(column) > 0)
-
-
-def at_least(df: DataFrame, column: str, floor: float) -> DataFrame:
-    return df.where(F.col(column) >= floor)
-
-
-def either_above(df: DataFrame, first: str, second: str, floor: float) -> DataFrame:
-    return df.where((F.col(first) > floor) | (F.col(second) > floor))
-
-
-def both_positive(df: DataFrame, first: str, second: str) -> DataFrame:
-    return df.where((F.col(first) > 0) & (F.col(second) > 0))
-
-
 def filter_options(df: DataFrame, countries: int = 20, all_years_up_to: int = 5) -> DataFrame:
     """Choices on offer: ``(filter, position, choice, is_default, valuecif)``.
 

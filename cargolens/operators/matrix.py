@@ -23,14 +23,15 @@ def top_block(
 ) -> DataFrame:
     """Pairs of the largest ports and largest countries; both lists have k rows at most.
 
-    The lists hold each name once, so a plain join keeps the pairs as they are. A semi
+    Both are taken over all pairs: the largest countries need not be those of the largest ports. The lists hold each name once, so a plain join keeps the pairs as they are. A semi
     join would be moved below the aggregate, which would then be computed a second time.
     """
+    block = pairs
     for key, k in ((port, ports), (country, countries)):
         sums = pairs.groupBy(key).agg(F.sum("valuecif").alias("valuecif"))
         chosen = top_k(sums, "valuecif", key, k).select(key)
-        pairs = pairs.join(F.broadcast(chosen), key)
-    return pairs
+        block = block.join(F.broadcast(chosen), key)
+    return block
 
 
 def port_shares(pairs: DataFrame, port: str = PORT) -> DataFrame:
@@ -63,7 +64,13 @@ def port_concentration(df: DataFrame, port: str = PORT, country: str = COUNTRY)
 def wide_matrix(
     block: DataFrame, countries, port: str = PORT, country: str = COUNTRY, scale: float = 1e9
 ) -> DataFrame:
-    """One row per port and one column per given country, 0 where there is no trade."""
+    """One row per port and one column per given country, 0 where there is no trade.
+
+    The job fails on a country that is not among the given ones, as its value would be left out.
+    """
+    unknown = F.raise_error(F.concat(F.lit("no column for "), F.coalesce(country, F.lit("null"))))
+    listed = F.col(country).isin(*countries)
+    block = block.withColumn(country, F.when(listed, F.col(country)).otherwise(unknown.cast("string")))
     wide = block.groupBy(port).pivot(country, list(countries)).agg(F.sum("valuecif"))
     return wide.select(
         port,
@@ -72,9 +79,3 @@ def wide_matrix(
             for c in countries
         ],
     )
-
-
-def top_members(df: DataFrame, key: str, k: int, value: str = "valuecif") -> list[str]:
-    """Names of the k largest members, for pivot columns; k is a report size."""
-    rows = top_k(group_totals(df, key, [value], None), value, key, k).select(key).take(k)
-    return [row[0] for row in rows]

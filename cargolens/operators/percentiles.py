@@ -1,158 +1,142 @@
-"""Exact linear-interpolation percentiles of large columns, and describe tables."""
+"""Exact linear-interpolation percentiles of large columns, and describe tables.
 
-from __future__ import annotations
+Two passes, both lazy, for any number of columns and groups. The first counts rows by bucket: a bucket is a value's
+sign, binary exponent and leading mantissa bits, so buckets are ordered as the values are, their number is bounded by
+the number format, and counts merge on the map side. Bucket ranks are exact, so they tell which buckets hold a wanted
+rank. The second pass counts the distinct values of those buckets only.
+"""
 
-import math
-from functools import reduce
+from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .aggregates import mean
-from .running import running_sum
 
 QUARTILES = (25, 50, 75)
-ACCURACY = 10_000
 
+#: Buckets of one power of two.
+STEPS = 4096
 
-def percentile_points(df: DataFrame, value: str, percents, accuracy: int = ACCURACY) -> DataFrame:
-    """One row per percentile: ``(percentile, value)``, exact, on any number of rows."""
-    return points_and_totals(df, value, percents, (), accuracy)[0]
+
+def bucket_of(value: Column) -> Column:
+    """Order-preserving whole number of a double; infinities and NaN are ends of their own."""
+    size = F.abs(value)
+    exponent = F.floor(F.log2(size))
+    # 2 ** exponent alone leaves the range of doubles at its ends, two halves do not
+    half = F.floor(exponent / 2)
+    steps = F.floor(size / F.pow(F.lit(2.0), half) / F.pow(F.lit(2.0), exponent - half) * STEPS)
+    place = (exponent + 1100) * 2 * STEPS + steps
+    finite = F.when(size == 0, F.lit(0).cast("long")).when(value > 0, place).otherwise(-place)
+    end = 1 << 60
+    return (
+        F.when(F.isnan(value), F.lit(end + 1))
+        .when(size == float("inf"), F.when(value > 0, F.lit(end)).otherwise(F.lit(-end)))
+        .otherwise(finite)
+    )
 
 
-def points_and_totals(
-    df: DataFrame, value: str, percents, totals, accuracy: int = ACCURACY
-) -> tuple[DataFrame, Row]:
-    """Percentile rows, and the row of further aggregates taken by their first pass.
+def group_points(df: DataFrame, groups, value: str, percents) -> DataFrame:
+    """``(groups, percentile, value)``: percentiles of the non-null values of each group; null groups form none.
 
-    A sketch first gives each percentile a narrow bracket that is certain to hold its
-    neighbours: two numbers per percentile, which come to the driver with the row count.
-    One pass then counts rows: values inside a bracket keep their own count, all rows
-    between two brackets fold into one row on the map side. What is left to order is
-    about ``6 / accuracy`` of the distinct values per percentile. Below ``5 * accuracy``
-    rows every value keeps its own count.
+    A window of the first pass holds one group's buckets, one of the second the distinct values of one bucket: neither
+    grows with the rows of a group.
     """
-    percents = sorted(percents)
-    margin = 3.0 / accuracy
-    marks = [x for p in percents for x in (max(p / 100 - margin, 0.0), min(p / 100 + margin, 1.0))]
+    groups, percents = list(groups), sorted(percents)
     v = F.col(value).cast("double")
-    first = df.agg(
-        F.count(v).alias("_rows"),
-        F.percentile_approx(v, F.array(*[F.lit(m) for m in marks]), accuracy).alias("_bounds"),
-        *totals,
-    ).first()
-    rows, bounds = first["_rows"], first["_bounds"]
-    data = df.select(v.alias("_v")).where("_v IS NOT NULL")
-    inside, passed = F.lit(rows < 5 * accuracy), F.lit(0)
-    for low, high in zip(bounds[::2], bounds[1::2]) if rows else ():
-        inside = inside | F.col("_v").between(low, high)
-        passed = passed + (F.col("_v") > high).cast("int")
-    counted = (
-        data.select("_v", inside.alias("_in"), passed.alias("_gap"))
-        .groupBy("_in", "_gap", F.when(F.col("_in"), F.col("_v")).alias("_key"))
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_first"))
-    )
-    ordered = running_sum(counted, "_n", [F.asc("_first"), F.asc("_in")], "_upto")
-    # Rows from a gap stand for many values; a percentile that falls there is an error.
-    exact = F.when(F.col("_in"), F.col("_first")).otherwise(
-        F.raise_error(F.lit("percentile left its bracket")).cast("double")
+    data = df.select(*groups, v.alias("_v")).dropna(subset=[*groups, "_v"])
+    data = data.withColumn("_bucket", bucket_of(F.col("_v")))
+
+    buckets = data.groupBy(*groups, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    inside = W.partitionBy(*groups)
+    buckets = buckets.withColumns(
+        {
+            "_rows": F.sum("_n").over(inside),
+            "_upto": F.sum("_n").over(inside.orderBy("_bucket").rowsBetween(W.unboundedPreceding, 0)),
+        }
     )
 
-    def value_at(position: int) -> Column:
-        here = (F.col("_upto") > position) & (F.col("_upto") - F.col("_n") <= position)
-        return F.max(F.when(here, exact))
-
-    points, picks = [], []
-    for place, p in enumerate(percents):
-        spot = max(rows - 1, 0) * p / 100
-        below = math.floor(spot)
-        picks += [
-            value_at(below).alias(f"low{place}"),
-            value_at(math.ceil(spot)).alias(f"high{place}"),
-        ]
-        low, high = F.col(f"low{place}"), F.col(f"high{place}")
-        points.append(
-            F.struct(
-                F.lit(p).cast("int").alias("percentile"),
-                (low + (high - low) * (spot - below)).alias("value"),
-            )
+    def want(percent, upper: bool) -> Column:
+        spot = (F.col("_rows") - 1) * (percent / 100)
+        below = F.floor(spot)
+        return F.struct(
+            F.lit(float(percent)).alias("percent"),
+            F.lit(upper).alias("upper"),
+            (F.ceil(spot) if upper else below).alias("rank"),
+            (spot - below).alias("share"),
         )
-    return ordered.agg(*picks).select(F.inline(F.array(*points))), first
 
-
-def approximate_points(df: DataFrame, value: str, percents, accuracy: int = ACCURACY) -> DataFrame:
-    """The same rows from a sketch alone: one scan, nearest stored value."""
-    percents = sorted(percents)
-    marks = F.array(*[F.lit(p / 100) for p in percents])
-    found = df.agg(F.percentile_approx(F.col(value).cast("double"), marks, accuracy).alias("v"))
-    return found.select(
-        F.inline(
-            F.arrays_zip(
-                F.array(*[F.lit(int(p)) for p in percents]).alias("percentile"),
-                F.col("v").alias("value"),
-            )
-        )
+    wants = F.array(*[want(p, upper) for p in percents for upper in (False, True)])
+    here = lambda w: (w["rank"] < F.col("_upto")) & (w["rank"] >= F.col("_upto") - F.col("_n"))
+    chosen = buckets.select(
+        *groups, "_bucket", (F.col("_upto") - F.col("_n")).alias("_from"), F.filter(wants, here).alias("_wants")
+    ).where(F.size("_wants") > 0)
+    if not groups:  # then there are at most two buckets for each percentile
+        chosen = F.broadcast(chosen)
+
+    values = data.join(chosen.select(*groups, "_bucket"), [*groups, "_bucket"], "left_semi")
+    values = values.groupBy(*groups, "_bucket", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    values = values.join(chosen, [*groups, "_bucket"])
+    order = W.partitionBy(*groups, "_bucket").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
+    values = values.withColumn("_upto", F.col("_from") + F.sum("_n").over(order))
+    found = values.select(*groups, "_v", F.inline(F.filter("_wants", here)))
+    found = found.groupBy(*groups, "percent").agg(
+        F.max(F.when(~F.col("upper"), F.col("_v"))).alias("_low"),
+        F.max(F.when(F.col("upper"), F.col("_v"))).alias("_high"),
+        F.max("share").alias("_share"),
     )
+    between = F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_share")
+    point = F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(between)
+    return found.select(*groups, F.col("percent").alias("percentile"), point.alias("value"))
 
 
-def group_medians(df: DataFrame, group: str, value: str, out: str = "median") -> DataFrame:
-    """Exact median of each group, however large one group is.
+def percentile_points(df: DataFrame, value: str, percents) -> DataFrame:
+    """One row per percentile: ``(percentile, value)``; null values without rows."""
+    spark = df.sparkSession
+    every = spark.createDataFrame([(int(p), float(p)) for p in sorted(percents)], "percentile int, _p double")
+    points = group_points(df, [], value, percents).withColumnRenamed("percentile", "_p")
+    return every.join(F.broadcast(points), "_p", "left").select("percentile", "value")
 
-    Rows fold into (group, value) counts before the shuffle; the counts are ranked by a
-    distributed running sum, and each group then picks its two middle values.
-    """
-    counted = (
-        df.select(F.col(group), F.col(value).cast("double").alias("_v"))
-        .where(F.col(group).isNotNull() & F.col("_v").isNotNull())
-        .groupBy(group, "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    ordered = running_sum(counted, "_n", [F.asc(group), F.asc("_v")], "_upto").withColumn(
-        "_from", F.col("_upto") - F.col("_n")
-    )
-    spans = ordered.groupBy(group).agg(
-        F.min("_from").alias("_start"), F.max("_upto").alias("_end")
-    )
-    middle = F.col("_start") + (F.col("_end") - F.col("_start") - 1) / F.lit(2.0)
-    here = [
-        (F.col("_from") <= spot) & (F.col("_upto") > spot)
-        for spot in (F.floor(middle), F.ceil(middle))
-    ]
-    return (
-        ordered.join(spans, group)
-        .where(here[0] | here[1])
-        .groupBy(group)
-        .agg(((F.min("_v") + F.max("_v")) / 2).alias(out))
-    )
+
+def group_medians(df: DataFrame, group: str, value: str, out: str = "median") -> DataFrame:
+    """Exact median of each group, however large one group is."""
+    return group_points(df, [group], value, [50]).select(group, F.col("value").alias(out))
 
 
-def describe(df: DataFrame, value: str, percents=QUARTILES, exact: bool = True) -> DataFrame:
+def describe(df: DataFrame, value: str, percents=QUARTILES) -> DataFrame:
     """Rows ``(statistic, value)``: count, mean, std, min, max and the percentiles."""
-    v = F.col(value).cast("double")
-    moments = [
-        F.count(v).cast("double").alias("count"),
-        mean(value).alias("mean"),
-        F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-    ]
-    if exact:
-        points, found = points_and_totals(df, value, percents or QUARTILES, moments)
-    else:
-        points, found = approximate_points(df, value, percents or QUARTILES), df.agg(*moments).first()
-    names = ["count", "mean", "std", "min", "max"]
-    rows = df.sparkSession.createDataFrame(
-        [(n, found[n]) for n in names], "statistic string, value double"
-    )
-    return rows.unionByName(
-        points.select(F.format_string("p%02d", "percentile").alias("statistic"), "value")
-    )
+    return describe_table(df, [value], percents).select("statistic", "value")
+
 
+def describe_table(df: DataFrame, columns, percents=QUARTILES) -> DataFrame:
+    """Describe rows of several columns: ``(column_name, statistic, value)``.
 
-def describe_table(df: DataFrame, columns, percents=QUARTILES, exact: bool = True) -> DataFrame:
-    """Describe rows of several columns: ``(column_name, statistic, value)``."""
-    parts = [
-        describe(df, c, percents, exact).select(F.lit(c).alias("column_name"), "statistic", "value")
+    The columns are stacked, so both percentile passes and the moments each read the table once for all of them.
+    """
+    percents = percents or QUARTILES
+    moments = ["count", "mean", "std", "min", "max"]
+
+    def of(column: str) -> list[Column]:
+        v = F.col(column).cast("double")
+        return [F.count(v).cast("double"), mean(column), F.stddev_samp(v), F.min(v), F.max(v)]
+
+    one = df.agg(*[F.struct(*[e.alias(n) for n, e in zip(moments, of(c))]).alias(c) for c in columns])
+    entries = [
+        F.struct(F.lit(c).alias("column_name"), F.lit(n).alias("statistic"), F.col(c)[n].alias("value"))
         for c in columns
+        for n in moments
     ]
-    return reduce(DataFrame.unionByName, parts)
+    stacked = df.select(
+        F.inline(
+            F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("_value")) for c in columns])
+        )
+    )
+    points = group_points(stacked, ["column_name"], "_value", percents)
+    names = df.sparkSession.createDataFrame(
+        [(c, float(p), f"p{int(p):02d}") for c in columns for p in sorted(percents)],
+        "column_name string, percentile double, statistic string",
+    )
+    # a column without values has its percentiles as nulls; the point table has a row for each column and percentile
+    shown = names.join(F.broadcast(points), ["column_name", "percentile"], "left")
+    return one.select(F.inline(F.array(*entries))).unionByName(shown.select("column_name", "statistic", "value"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import to_number
 from ..functions.text import strip
 from ..schema import MEASURES, TEXT_COLUMNS, present
-from .percentiles import group_medians, points_and_totals
+from .percentiles import group_medians, percentile_points
 from .ranking import top_in_group, top_k
 
 
@@ -122,14 +122,9 @@ def weight_distribution(df: DataFrame, column: str = "weight") -> DataFrame:
     names = ["total_rows", "min_weight", "max_weight", "mean_weight", *limits]
     totals = [F.count(F.lit(1)), F.min("w"), F.max("w"), F.avg("w")]
     totals += [F.count_if(condition) for condition in limits.values()]
-    points, found = points_and_totals(
-        data, "w", [50], [t.alias(n) for n, t in zip(names, totals)]
-    )
-    kinds = {"min_weight": "double", "max_weight": "double", "mean_weight": "double"}
-    return points.select(
-        *[F.lit(found[n]).cast(kinds.get(n, "bigint")).alias(n) for n in names],
-        F.col("value").alias("median_weight"),
-    ).withColumns({f"{name}_pct": _share(F.col(name), F.col("total_rows")) for name in limits})
+    median = percentile_points(data, "w", [50]).select("value").scalar()
+    found = data.agg(*[t.alias(n) for n, t in zip(names, totals)])
+    return found.select("*", median.alias("median_weight")).withColumns({f"{name}_pct": _share(F.col(name), F.col("total_rows")) for name in limits})
 
 
 def unit_quantities(df: DataFrame, unit: str = "unit_quantity", quantity: str = "quantity"):

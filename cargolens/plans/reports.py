@@ -20,10 +20,11 @@ from ..operators.classify import add_industry
 from ..operators.percentiles import QUARTILES, describe
 from ..operators.ranking import argmax_order, ranked_top_k, top_in_group
 from ..operators.running import with_running_share
-from ..schema import MEASURES
+from ..schema import MEASURES, present
 from ..storage import materialize
 
 PERCENTS = (10, 25, 50, 75, 90, 95, 99)
+# Names of the market classes.
 LEADER, PREMIUM, STANDARD = "Market Leader", "Premium Product", "Standard"
 
 
@@ -104,17 +105,17 @@ def cif_fob_comparison(df: DataFrame, k: int = 10, cut: int = 75) -> DataFrame:
 def industry_sectors(df: DataFrame) -> DataFrame:
     """Totals, share of all imports and largest commodity of each industry.
 
-    One aggregate by industry and commodity feeds the totals and the winners.
+    Records are added up by code and commodity first, so only those few rows are classified. One aggregate by industry
+    and commodity feeds the totals and the winners.
     """
+    measures = ("valuefob", "valuecif", "weight")
+    by_code = df.groupBy("commodity_code", "commodity_description").agg(
+        *[total(m).alias(m) for m in measures], F.count("commodity_description").alias("record_count")
+    )
     pairs = (
-        add_industry(df)
+        add_industry(by_code)
         .groupBy("industry_sector", "commodity_description")
-        .agg(
-            total("valuefob").alias("valuefob"),
-            total("valuecif").alias("valuecif"),
-            total("weight").alias("weight"),
-            F.count("commodity_description").alias("record_count"),
-        )
+        .agg(*[total(m).alias(m) for m in (*measures, "record_count")])
     )
     order = argmax_order("valuecif", "commodity_description")
     sectors = pairs.groupBy("industry_sector").agg(
@@ -132,8 +133,10 @@ def industry_sectors(df: DataFrame) -> DataFrame:
 
 
 def industry_values(df: DataFrame) -> DataFrame:
-    """Totals and value per tonne of each industry with a weight."""
-    grouped = doubles(group_totals(add_industry(df), "industry_sector", MEASURES, None))
+    """Totals and value per tonne of each industry with a weight; codes are classified after they are added up."""
+    measures = present(df, MEASURES)
+    by_code = df.groupBy("commodity_code").agg(*[total(m).alias(m) for m in measures])
+    grouped = doubles(group_totals(add_industry(by_code), "industry_sector", measures, None))
     return grouped.where(F.col("weight") > 0).withColumns(
         {
             "value_per_tonne": amount_per_tonne("valuecif", "weight"),
@@ -199,10 +202,10 @@ def fob_cif_gap(df: DataFrame) -> DataFrame:
     )
 
 
-def distribution(df: DataFrame, column: str, percents=PERCENTS, exact: bool = True) -> DataFrame:
+def distribution(df: DataFrame, column: str, percents=PERCENTS) -> DataFrame:
     """Describe table and percentiles of the positive values of a column."""
     wanted = sorted(set(percents) | set(QUARTILES))
-    return describe(df.where(F.col(column) > 0), column, wanted, exact)
+    return describe(df.where(F.col(column) > 0), column, wanted)
 
 
 def share_of_top(df: DataFrame, key: str, sizes=(5, 10, 20)) -> DataFrame:
@@ -235,11 +238,11 @@ INSIGHTS = {
 }
 
 
-def key_insights(df: DataFrame) -> DataFrame:
+def key_insights(df: DataFrame, years: tuple[int, int] | None = None) -> DataFrame:
     """Rows ``(insight, label, value, pct)`` from one scan of the table.
 
     The largest country, commodity, mode and state with their shares, FOB growth from
-    the first to the second year, and the shares of the top 5 countries and top 10
+    the first to the second year (``years``, else the first two held), and the shares of the top 5 countries and top 10
     commodities. Shares refer to the members of a dimension.
     """
     members = materialize(
@@ -285,10 +288,10 @@ def key_insights(df: DataFrame) -> DataFrame:
             percent(F.col("value"), F.col("whole")).alias("pct"),
         )
     )
-    first = F.max(F.when(F.col("rank") == 1, F.col("value")))
-    second = F.max(F.when(F.col("rank") == 2, F.col("value")))
-    years = (
-        head.where(F.col("dimension") == "year")
+    spots = [F.col("member") == str(y) for y in years] if years else [F.col("rank") == r for r in (1, 2)]
+    first, second = (F.max(F.when(spot, F.col("value"))) for spot in spots)
+    growth = (
+        (sized if years else head).where(F.col("dimension") == "year")
         .agg(first.alias("first"), second.alias("second"))
         .where(F.col("second").isNotNull())
         .select(
@@ -298,7 +301,7 @@ def key_insights(df: DataFrame) -> DataFrame:
             growth_pct(F.col("first"), F.col("second")).alias("pct"),
         )
     )
-    return tops.unionByName(held).unionByName(years)
+    return tops.unionByName(held).unionByName(growth)
 
 
 SUMMARY_TOPS = {
@@ -390,12 +393,13 @@ def summary_statistics(df: DataFrame, tops: dict[str, int] | None = None) -> Dat
     )
 
 
+# The texts of the report below.
 def report_lines(summary: DataFrame, top_countries: int = 15, rule: int = 60) -> DataFrame:
     """The text report of a summary row: ``(line_number, line)``."""
     bar = F.lit("=" * rule)
     billions = "  %s Value: $%.2f Billion AUD"
     countries = F.transform(
-        F.col("top_countries"),
+        F.slice("top_countries", 1, top_countries),
         lambda c, i: F.format_string("  %d. %s: $%.2fB", i + 1, c["country"], c["value_cif"] / 1e9),
     )
     lines = F.concat(

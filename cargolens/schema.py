@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MEASURES = ("valuefob", "valuecif", "weight", "quantity")
 AMOUNTS = ("valuefob", "valuecif")
 
+# The cleaned text columns, and the shorter merge key below.
 TEXT_COLUMNS = (
     "country_description",
     "commodity_description",
@@ -26,6 +28,7 @@ GRAIN = (
     "commodity_code",
     "ausport_code",
     "osport_code",
+    "mode",
     "mode_description",
     "state",
     "unit_quantity",
@@ -41,6 +44,7 @@ AMOUNT_TYPE = T.DecimalType(20, 2)
 
 RAW_COLUMNS = (
     "month",
+    "mode",
     "mode_description",
     "commodity_code",
     "commodity_description",
@@ -58,14 +62,12 @@ RAW_COLUMNS = (
     "unit_quantity",
 )
 
-#: Raw files are read as text; cleaning decides what is a number.
-RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])
-
 IMPORTS_SCHEMA = T.StructType(
     [
         T.StructField("year", T.IntegerType()),
         T.StructField("month_number", T.IntegerType()),
         T.StructField("month", T.StringType()),
+        T.StructField("mode", T.StringType()),
         T.StructField("mode_description", T.StringType()),
         T.StructField("commodity_code", T.StringType()),
         T.StructField("commodity_description", T.StringType()),
@@ -81,6 +83,9 @@ IMPORTS_SCHEMA = T.StructType(
         T.StructField("valuecif", AMOUNT_TYPE),
         T.StructField("quantity", T.DoubleType()),
         T.StructField("unit_quantity", T.StringType()),
+        T.StructField("value_per_tonne_fob", T.DoubleType()),
+        T.StructField("value_per_tonne_cif", T.DoubleType()),
+        T.StructField("insurance_freight_cost", T.DoubleType()),
     ]
 )
 
@@ -90,16 +95,12 @@ def present(df: DataFrame, names) -> list[str]:
     return [name for name in names if name in df.columns]
 
 
-def require_columns(df: DataFrame, names) -> None:
-    missing = [name for name in names if name not in df.columns]
-    if missing:
-        raise ValueError(f"missing columns: {', '.join(missing)}")
-
-
 def conform(df: DataFrame) -> DataFrame:
-    """Project onto the stored schema; absent columns become null."""
-    from pyspark.sql import functions as F
+    """Project onto the stored schema; absent columns become null.
 
+    An amount that the stored type can't hold (infinite, or 18 digits before the point and more) becomes null;
+    ``lost_amounts`` counts these.
+    """
     return df.select(
         *[
             (
@@ -110,3 +111,15 @@ def conform(df: DataFrame) -> DataFrame:
             for f in IMPORTS_SCHEMA.fields
         ]
     )
+
+
+def lost_amounts(df: DataFrame) -> DataFrame:
+    """One row for each amount column: its numbers, and how many of them the stored type can't hold."""
+    names = present(df, AMOUNTS)
+    lost = [F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(AMOUNT_TYPE).isNull()).alias(c) for c in names]
+    held = [F.count(c).alias(f"{c}_numbers") for c in names]
+    rows = [
+        F.struct(F.lit(c).alias("column_name"), F.col(f"{c}_numbers").alias("numbers"), F.col(c).alias("lost_count"))
+        for c in names
+    ]
+    return df.agg(*lost, *held).select(F.inline(F.array(*rows)))

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import year_of
 from ..operators.clean import standard_names
 from ..operators.filters import matching
 from ..operators.running import numbered
-from ..schema import RAW_SCHEMA, present
+from ..schema import PARTITION_COLUMNS, RAW_COLUMNS, present
 
 # File texts read as missing.
 MISSING_MARKS = (
@@ -22,52 +23,36 @@ MISSING_MARKS = (
 PAGE_KEYS = ("year", "month_number", "country_code", "commodity_code")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash rows over all cores when a scan has fewer tasks than there are cores.
-
-    A single gzip file or row group is read by one task, and every narrow step after it
-    would run there as well. Scans with enough tasks are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
-def has_broken_lines(spark: SparkSession, path) -> bool:
-    """Whether some record spans lines: a line then has an odd number of quote marks."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not spark.read.text(path).where(quotes % 2 == 1).limit(1).isEmpty()
-
-
 def raw_csv(
     spark: SparkSession,
     path,
-    schema=RAW_SCHEMA,
     missing_marks=MISSING_MARKS,
     keep=(),
-    multi_line: bool | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Raw files with a header, every column as text, in standard column names.
 
-    Missing marks become null except in the ``keep`` columns, for which a code such
-    as ``NA`` is a value. Files with one record per line are split over tasks; files
-    with line breaks inside quotes take one task each. Unless ``multi_line`` says
-    which it is, the lines are checked first.
+    Columns are found by their names in the header: known ones in any order, absent ones are null, others follow as
+    they are. Files read together must have the same header; the read fails otherwise (read each layout by itself and
+    append the frames). Missing marks become null except in the ``keep`` columns, for which a code such as ``NA`` is a
+    value. Records are one line each and files are split over tasks, unless ``multi_line`` says that quoted texts
+    have line breaks: then a file is one task's.
     """
-    if multi_line is None:
-        multi_line = has_broken_lines(spark, path)
     df = standard_names(
-        spark.read.schema(schema)
-        .options(header=True, enforceSchema=True, multiLine=multi_line, escape='"')
-        .csv(path)
-    )
-    if not missing_marks:
-        return df
-    return df.select(
-        *[
-            F.col(c) if c in keep else F.when(~F.col(c).isin(*missing_marks), F.col(c)).alias(c)
-            for c in df.columns
-        ]
+        spark.read.options(header=True, enforceSchema=False, multiLine=multi_line, escape='"').csv(path)
     )
+    twice = sorted({c for c in df.columns if df.columns.count(c) > 1})
+    if twice:
+        raise ValueError(f"columns named twice: {', '.join(twice)}")
+
+    def column(name: str):
+        if name not in df.columns:
+            return F.lit(None).cast("string").alias(name)
+        if not missing_marks or name in keep:
+            return F.col(f"`{name}`")
+        return F.when(~F.col(f"`{name}`").isin(*missing_marks), F.col(f"`{name}`")).alias(name)
+
+    return df.select(*[column(c) for c in (*RAW_COLUMNS, *[c for c in df.columns if c not in RAW_COLUMNS])])
 
 
 def in_years(df: DataFrame, years=None) -> DataFrame:
@@ -78,46 +63,63 @@ def in_years(df: DataFrame, years=None) -> DataFrame:
     return dated.where(F.col("year").isin(*[str(y) for y in years]))
 
 
-def cleaned(spark: SparkSession, path, max_rows: int | None = None) -> DataFrame:
-    """The stored table, or its first rows when a positive cap is given."""
-    df = spark.read.parquet(path)
-    return df.limit(max_rows) if max_rows and max_rows > 0 else df
+def cleaned(spark: SparkSession, path) -> DataFrame:
+    """The stored table."""
+    return spark.read.parquet(path)
 
 
-def filtered(df: DataFrame, limit_rows: int | None = None, **choices) -> DataFrame:
-    """Rows matching the year, month and country lists, optionally capped."""
-    rows = matching(df, **choices)
-    return rows if limit_rows is None else rows.limit(limit_rows)
+def filtered(df: DataFrame, **choices) -> DataFrame:
+    """Rows matching the year, month and country lists."""
+    return matching(df, **choices)
 
 
-def page(
-    df: DataFrame, size: int, number: int = 1, keys=PAGE_KEYS, then=(), deep: int = 100_000
-) -> DataFrame:
-    """Page ``number`` (from 1) in key order; ``then`` names columns that break ties.
+def page(df: DataFrame, size: int, number: int = 1, keys=PAGE_KEYS, then=()) -> DataFrame:
+    """Page ``number`` (from 1) in key order, nulls first; ``then`` names columns that break ties.
 
-    An offset makes the driver merge all rows up to the page, so pages beyond ``deep``
-    rows number the sorted rows on the executors instead; that needs a total order.
-    ``page_after`` is the cheap way to walk through many pages.
+    Rows are counted by month first, which tells the months the page lies in (at most ``size`` of them come to the
+    driver). Only those months are read again and sorted. ``page_after`` walks through many pages without counting.
     """
-    order, last = [F.asc(c) for c in (*keys, *then)], size * number
-    if last <= deep:
-        return df.orderBy(*order).offset(last - size).limit(size)
-    rows = numbered(df, order, "_number")
-    return rows.where(F.col("_number").between(last - size + 1, last)).drop("_number")
-
-
-def page_after(df: DataFrame, last, size: int, keys=PAGE_KEYS) -> DataFrame:
-    """The next page after the key values ``last``, without reading earlier pages.
-
-    ``keys`` must be unique and not null. The comparison on the first key alone is
+    if tuple(keys[:2]) != PARTITION_COLUMNS:
+        raise ValueError("the order must begin with the columns the table is stored by")
+    first, last = size * (number - 1) + 1, size * number
+    counts = df.groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("_n"))
+    # one row for each month of the calendar: small enough for one window
+    upto = F.sum("_n").over(W.orderBy(*PARTITION_COLUMNS).rowsBetween(W.unboundedPreceding, 0))
+    months = counts.withColumn("_upto", upto).where((F.col("_upto") >= first) & (F.col("_upto") - F.col("_n") < last))
+    months = months.orderBy("_upto").collect()
+    if not months:
+        return df.limit(0)
+    before = months[0]["_upto"] - months[0]["_n"]
+    rows = df.where(in_months([(m[0], m[1]) for m in months]))
+    rows = numbered(rows, [F.asc(c) for c in (*keys, *then)], "_number")
+    return rows.where(F.col("_number").between(first - before, last - before)).drop("_number")
+
+
+def in_months(months: list[tuple]) -> Column:
+    """Whether a row lies in one of a few months, of which parts may be null; prunes folders."""
+    year, month = PARTITION_COLUMNS
+    tests = [F.col(year).eqNullSafe(F.lit(y)) & F.col(month).eqNullSafe(F.lit(m)) for y, m in months]
+    return reduce(lambda a, b: a | b, tests)
+
+
+def page_after(df: DataFrame, last, size: int, keys) -> DataFrame:
+    """The next page after the key values ``last`` (none for the first page), without reading earlier pages.
+
+    ``keys`` together must be unique; they may be null, and nulls come first. The comparison on the first key alone is
     repeated as a plain condition so that folders before it are pruned.
     """
+    order = [F.asc_nulls_first(k) for k in keys]
+    if last is None:
+        return df.orderBy(*order).limit(size)
     tests = []
     for place, key in enumerate(keys):
-        equal = [F.col(k) == F.lit(v) for k, v in zip(keys[:place], last)]
-        tests.append(reduce(lambda a, b: a & b, [*equal, F.col(key) > F.lit(last[place])]))
-    later = reduce(lambda a, b: a | b, tests)
-    return df.where((F.col(keys[0]) >= F.lit(last[0])) & later).orderBy(*keys).limit(size)
+        equal = [F.col(k).eqNullSafe(F.lit(v)) for k, v in zip(keys[:place], last)]
+        beyond = F.col(key).isNotNull() if last[place] is None else F.col(key) > F.lit(last[place])
+        tests.append(reduce(lambda a, b: a & b, [*equal, beyond]))
+    later = df.where(reduce(lambda a, b: a | b, tests))
+    if last[0] is not None:
+        later = later.where(F.col(keys[0]) >= F.lit(last[0]))
+    return later.orderBy(*order).limit(size)
 
 
 # Columns shown in a preview.

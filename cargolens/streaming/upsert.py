@@ -9,10 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ranking import top_in_group
 from ..schema import GRAIN, PARTITION_COLUMNS
-from ..storage import path_exists, scratch_path
-
-MAX_TOUCHED = 10_000
-
+from ..storage import path_exists, remove_path, scratch_path
 
 def append_tables(*frames: DataFrame) -> DataFrame:
     """Rows of all frames; columns a frame lacks are null."""
@@ -38,54 +35,73 @@ def merged(stored: DataFrame | None, batch: DataFrame, keys=GRAIN) -> DataFrame:
     return newest_by_key(both, keys, ties=ties)
 
 
-def _in_months(months: list[tuple]) -> Column:
-    year, month = PARTITION_COLUMNS
-    return reduce(
-        lambda a, b: a | b,
-        [F.col(year).eqNullSafe(F.lit(y)) & F.col(month).eqNullSafe(F.lit(m)) for y, m in months],
-    )
+def touched_months(df: DataFrame) -> DataFrame:
+    """The (year, month) folders that rows fall into."""
+    return df.select(*PARTITION_COLUMNS).distinct()
 
 
-def touched_months(batch: DataFrame) -> list[tuple]:
-    """The (year, month) folders a batch falls into; a calendar-sized list."""
-    rows = batch.select(*PARTITION_COLUMNS).distinct().limit(MAX_TOUCHED + 1).collect()
-    if len(rows) > MAX_TOUCHED:
-        raise ValueError("a batch touches more month folders than a calendar can hold")
-    return sorted(((r[0], r[1]) for r in rows), key=str)
+def repeated_months(stored: DataFrame, keys=GRAIN) -> DataFrame:
+    """The months that hold some key more than once (the month belongs to the key)."""
+    own = list(dict.fromkeys([*PARTITION_COLUMNS, *[k for k in keys if k in stored.columns]]))
+    counted = stored.groupBy(*own).agg(F.count(F.lit(1)).alias("_n"))
+    return touched_months(counted.where("_n > 1"))
+
+
+def rows_of_months(stored: DataFrame, months: DataFrame) -> DataFrame:
+    """Rows whose month is listed, null parts included.
+
+    Months without nulls are joined by equality, by which Spark prunes the other folders while it runs; the folders of
+    null parts are few and known.
+    """
+    year, month = PARTITION_COLUMNS
+    a, b = stored.alias("a"), months.alias("b")
+    plain = a.join(b, (F.col(f"a.{year}") == F.col(f"b.{year}")) & (F.col(f"a.{month}") == F.col(f"b.{month}")), "left_semi")
+    null_part = F.col(year).isNull() | F.col(month).isNull()
+    same = F.col(f"a.{year}").eqNullSafe(F.col(f"b.{year}")) & F.col(f"a.{month}").eqNullSafe(F.col(f"b.{month}"))
+    odd = stored.where(null_part).alias("a").join(months.where(null_part).alias("b"), same, "left_semi")
+    return plain.unionByName(odd)
 
 
 def upsert(
-    spark: SparkSession, store: str, batch: DataFrame, keys=GRAIN, staging: str | None = None
-) -> list[tuple]:
+    spark: SparkSession,
+    store: str,
+    batch: DataFrame,
+    keys=GRAIN,
+    staging: str | None = None,
+    whole: bool = False,
+    rebuild: bool = False,
+) -> None:
     """Merge a cleaned batch into the store, rewriting only the months it touches.
 
-    The merged months are first written whole to ``staging`` in the shared folder and
-    then swapped in folder by folder. When the job dies during the swap, running it
-    again with the same ``staging`` repeats only the swap. Returns the months.
+    With ``whole`` the months that hold a key twice are rewritten too, so the whole store is unique by key afterwards;
+    that reads the key columns of all months. ``rebuild`` replaces the store by the batch.
+
+    What is to be written lies in ``staging`` in the shared folder first and is then swapped in folder by folder. When
+    the job dies during the swap, running it again with the same ``staging`` repeats only the swap. The folder is
+    removed at the end.
     """
     staging = staging or scratch_path(spark, "upsert")
-    if not path_exists(spark, f"{staging}/_SUCCESS"):
-        if not path_exists(spark, store):
-            merged(None, batch, keys).write.mode("overwrite").parquet(staging)
+    if not path_exists(spark, f"{staging}/merged/_SUCCESS"):
+        batch.write.mode("overwrite").parquet(f"{staging}/batch")
+        batch = spark.read.schema(batch.schema).parquet(f"{staging}/batch")
+        if rebuild or not path_exists(spark, store):
+            rows = merged(None, batch, keys)
         else:
-            # Read twice, for its months and for the merge; a batch is small beside the store.
-            batch = batch.persist()
+            held = spark.read.parquet(store)
             months = touched_months(batch)
-            if not months:
-                batch.unpersist()
-                return []
-            stored = spark.read.parquet(store).where(_in_months(months))
-            merged(stored, batch, keys).write.mode("overwrite").parquet(staging)
-            batch.unpersist()
-    rows = spark.read.parquet(staging)
+            if whole:
+                months = months.union(repeated_months(held, keys)).distinct()
+            rows = merged(rows_of_months(held, months), batch, keys)
+        rows.write.mode("overwrite").parquet(f"{staging}/merged")
+    rows = spark.read.parquet(f"{staging}/merged")
     (
         rows.hint("rebalance", *PARTITION_COLUMNS)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if rebuild else "dynamic")
         .partitionBy(*PARTITION_COLUMNS)
         .parquet(store)
     )
-    return touched_months(rows)
+    remove_path(spark, staging)
 
 
 def upsert_stream(
@@ -102,10 +118,13 @@ def upsert_stream(
 ):
     """Upsert every file not seen before and stop; the checkpoint records seen files.
 
-    ``options`` belong to the file format, such as ``header`` for CSV arrivals.
+    ``options`` belong to the file format. CSV arrivals are read by a header, which must name the columns of
+    ``schema`` in their order; a file with another header fails instead of being read under wrong names.
     ``clean`` runs before the merge, so stored and new rows have the same columns. A
     batch that is repeated after a failure reuses its own staging folder.
     """
+    if file_format == "csv":
+        options = {"header": True, "enforceSchema": False, **options}
     reader = spark.readStream.schema(schema).format(file_format).options(**options)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

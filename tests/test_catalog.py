@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from verification import catalog
 from verification.compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
-NAMES = list(entry.queries())
+NAMES = list(catalog.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,8 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
+    assert set(NAMES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)

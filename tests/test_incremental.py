@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from cargolens import schema
 from cargolens.operators import aggregates
 from cargolens.plans.refresh import clean_for_store, refresh
-from cargolens.storage import scratch_path
+from cargolens.storage import path_exists, scratch_path
 from cargolens.streaming import totals, upsert
 from verification.imports_view import imports_fact
 
@@ -31,8 +31,7 @@ def test_upsert_newest_wins_and_is_idempotent(spark):
         [(2024, 2, "a", 30.0), (2024, 3, "a", 4.0), (2023, 12, "c", 5.0), (2024, None, "a", 90.0)], TYPES
     )
     upsert.upsert(spark, store, base, KEYS)
-    months = upsert.upsert(spark, store, batch, KEYS)
-    assert set(months) == {(2024, 2), (2024, 3), (2023, 12), (2024, None)}
+    upsert.upsert(spark, store, batch, KEYS)
     want = sorted(
         [
             (2023, 12, "c", 5.0), (2024, 1, "a", 1.0), (2024, 1, "b", 2.0), (2024, 2, "a", 30.0),
@@ -55,16 +54,40 @@ def test_upsert_leaves_other_months_untouched(spark, tmp_path):
     assert before == after
 
 
-def test_a_died_swap_can_be_repeated(spark):
+def test_a_died_swap_can_be_repeated(spark, monkeypatch):
     store, staging = scratch_path(spark, "store"), scratch_path(spark, "staging")
     base = spark.createDataFrame([(2024, 1, "a", 1.0)], TYPES)
     batch = spark.createDataFrame([(2024, 1, "b", 2.0)], TYPES)
     upsert.upsert(spark, store, base, KEYS)
-    upsert.upsert(spark, store, batch, KEYS, staging)
+    with monkeypatch.context() as patch:
+        patch.setattr(upsert, "remove_path", lambda *a: None)
+        upsert.upsert(spark, store, batch, KEYS, staging)
     # As if the month folder had been removed but not yet replaced.
     spark.createDataFrame([], TYPES).write.mode("overwrite").partitionBy("year", "month_number").parquet(store)
     upsert.upsert(spark, store, batch, KEYS, staging)
     assert rows_of(spark, store) == [(2024, 1, "a", 1.0), (2024, 1, "b", 2.0)]
+    assert not path_exists(spark, staging)
+
+
+def test_whole_store_becomes_unique(spark, tmp_path):
+    store = str(tmp_path / "store")
+    twice = spark.createDataFrame(
+        [(2024, 5, "a", 1.0), (2024, 5, "a", 2.0), (2024, 6, "a", 1.0), (2024, 6, "a", 2.0), (2024, 7, "a", 3.0), (None, None, "a", 3.0), (None, None, "a", 4.0)], TYPES
+    )
+    twice.write.partitionBy("year", "month_number").parquet(store)
+    before = sorted(p.name for p in (tmp_path / "store/year=2024/month_number=7").iterdir())
+    upsert.upsert(spark, store, spark.createDataFrame([(2024, 6, "a", 9.0)], TYPES), KEYS, whole=True)
+    assert rows_of(spark, store) == sorted([(2024, 5, "a", 2.0), (2024, 6, "a", 9.0), (2024, 7, "a", 3.0), (None, None, "a", 4.0)], key=str)
+    assert before == sorted(p.name for p in (tmp_path / "store/year=2024/month_number=7").iterdir())
+
+
+def test_many_months_need_no_list(spark):
+    store = scratch_path(spark, "store")
+    base = spark.range(300).selectExpr("int(1000 + id) AS year", "1 AS month_number", "'a' AS country_code", "double(id) AS valuecif")
+    upsert.upsert(spark, store, base, KEYS)
+    upsert.upsert(spark, store, base.where("year % 2 = 0").withColumn("valuecif", F.lit(-1.0)), KEYS)
+    found = spark.read.parquet(store)
+    assert (found.count(), found.where("valuecif = -1").count()) == (300, 150)
 
 
 def test_newest_row_of_a_hot_key(spark):
@@ -155,19 +178,46 @@ def raw_rows(spark, *rows):
     return spark.createDataFrame(rows, "month string, country_code string, valuecif string, weight string")
 
 
-def test_refresh_outcomes(spark, tmp_path):
+def store_values(spark, store):
+    return {(r["month_number"], float(r["valuecif"])) for r in spark.read.parquet(store).collect()}
+
+
+def test_refresh_loses_nothing(spark, tmp_path):
     store, summary = str(tmp_path / "store"), str(tmp_path / "summary")
     first = raw_rows(spark, ("May 2024", "a", "1", "2"), ("June 2024", "a", "2", "2"), ("May 2020", "a", "5", "2"))
-    assert refresh(spark, first, store, years=[2024], floor=2) == "created"
-    assert spark.read.parquet(store).count() == 2
-    assert refresh(spark, first, store, years=[2024], floor=2) == "current"
-    newer = raw_rows(spark, ("June 2024", "a", "9", "2"), ("July 2024", "a", "3", "2"))
-    assert refresh(spark, newer, store, summary, floor=2) == "merged"
-    values = {(r["month_number"], float(r["valuecif"])) for r in spark.read.parquet(store).collect()}
-    assert values == {(5, 1.0), (6, 9.0), (7, 3.0)}
+    assert refresh(spark, first, store, years=[2024]) == "created"
+    assert store_values(spark, store) == {(5, 1.0), (6, 2.0)}
+    # a short extract without anything older keeps all history
+    july = raw_rows(spark, ("July 2024", "a", "3", "2"))
+    assert refresh(spark, july, store, summary) == "merged"
+    assert store_values(spark, store) == {(5, 1.0), (6, 2.0), (7, 3.0)}
+    # a restated month and a late one, older than the newest held
+    late = raw_rows(spark, ("June 2024", "a", "9", "2"), ("April 2024", "a", "4", "2"))
+    assert refresh(spark, late, store) == "merged"
+    assert refresh(spark, late, store) == "merged"
+    assert store_values(spark, store) == {(4, 4.0), (5, 1.0), (6, 9.0), (7, 3.0)}
     assert (tmp_path / "summary/summary_statistics/_SUCCESS").exists()
-    assert refresh(spark, first, store, floor=100) == "rebuilt"
-    assert spark.read.parquet(store).count() == 3
+    row = spark.read.parquet(store).where("month_number = 6").first()
+    assert row["value_per_tonne_cif"] == 4.5 and row["insurance_freight_cost"] is None
+
+
+def test_rebuild_only_on_request(spark, tmp_path):
+    store = str(tmp_path / "store")
+    refresh(spark, raw_rows(spark, ("May 2024", "a", "1", "2"), ("May 2024", "a", "2", "2")), store)
+    assert store_values(spark, store) == {(5, 2.0)}
+    assert refresh(spark, raw_rows(spark, ("June 2024", "a", "2", "2"), ("June 2024", "a", "3", "2")), store, rebuild=True) == "rebuilt"
+    assert store_values(spark, store) == {(6, 3.0)}
+
+
+def test_csv_stream_of_another_layout_fails(spark, tmp_path):
+    (tmp_path / "incoming").mkdir()
+    (tmp_path / "incoming/a.csv").write_text("Valuecif,Month,Country Code\n7,May 2024,a\n")
+    stream = upsert.upsert_stream(
+        spark, str(tmp_path / "incoming"), "`Month` string, `Country Code` string, `Valuecif` string",
+        str(tmp_path / "store"), str(tmp_path / "checkpoint"), clean_for_store, KEYS, file_format="csv",
+    )
+    with pytest.raises(Exception):
+        stream.awaitTermination()
 
 
 def test_conform_casts_money_and_fills_columns(spark):

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cargolens.functions.text import shorten
 from cargolens.operators import aggregates, concentration, filters, matrix, percentiles, ranking, trends
 from cargolens.operators import classify
 from cargolens.plans import reports
@@ -59,7 +60,7 @@ ITEM, COUNTRY = "commodity_description", "country_description"
 CONC = f""",
 pairs AS (
   SELECT commodity_description AS c, country_description AS k, sum(valuecif) AS v
-  FROM imports WHERE year IN {PAIR} GROUP BY 1, 2),
+  FROM imports GROUP BY 1, 2),
 ranked AS (
   SELECT *, sum(v) OVER (PARTITION BY c) AS t,
     row_number() OVER (PARTITION BY c ORDER BY v DESC, k) AS rn FROM pairs),
@@ -84,7 +85,7 @@ CONC_DIGITS = {"hhi_index": 6, "top_country_share": 6, "top3_country_share": 6}
 
 @query("R9 A15 A16 A17 A18 A19 J1 J2 P16 P26 W7 W8", f"{CONC} SELECT {CONC_OUT} FROM conc")
 def concentration_risk(spark, sf_dir):
-    df = two_years(spark, sf_dir, ITEM, COUNTRY, "valuecif")
+    df = imports_fact(spark, sf_dir, ITEM, COUNTRY, "valuecif")
     return rounded(concentration.concentration(df), **CONC_DIGITS)
 
 
@@ -94,7 +95,7 @@ def concentration_risk(spark, sf_dir):
     t::DOUBLE AS total_value, round(s, 6) AS country_share FROM shares""",
 )
 def supplier_shares(spark, sf_dir):
-    df = two_years(spark, sf_dir, ITEM, COUNTRY, "valuecif")
+    df = imports_fact(spark, sf_dir, ITEM, COUNTRY, "valuecif")
     return rounded(aggregates.doubles(concentration.supplier_shares(df)), country_share=6)
 
 
@@ -105,21 +106,21 @@ def supplier_shares(spark, sf_dir):
           ORDER BY hhi_index DESC, commodity_description LIMIT 20) c2""",
 )
 def most_concentrated(spark, sf_dir):
-    df = two_years(spark, sf_dir, ITEM, COUNTRY, "valuecif")
+    df = imports_fact(spark, sf_dir, ITEM, COUNTRY, "valuecif")
     top = concentration.most_concentrated(concentration.concentration(df))
     return longs(rounded(top, **CONC_DIGITS), "rank")
 
 
 @query("A43", f"{CONC} SELECT risk_level, count(*) AS row_count FROM conc GROUP BY risk_level")
 def risk_level_counts(spark, sf_dir):
-    df = two_years(spark, sf_dir, ITEM, COUNTRY, "valuecif")
+    df = imports_fact(spark, sf_dir, ITEM, COUNTRY, "valuecif")
     return concentration.class_counts(concentration.concentration(df), "risk_level")
 
 
 DEP = f""",
 dep0 AS (
   SELECT commodity_description, sum(valuecif) AS v, sum(weight) AS weight, count(month) AS record_count
-  FROM imports WHERE year IN {PAIR} GROUP BY 1),
+  FROM imports GROUP BY 1),
 dep1 AS (
   SELECT *, v::DOUBLE / (SELECT sum(v) FROM dep0)::DOUBLE * 100 AS dependence_pct,
     sum(v) OVER (ORDER BY commodity_description)::DOUBLE / (SELECT sum(v) FROM dep0)::DOUBLE * 100 AS by_name,
@@ -143,7 +144,7 @@ def _dep_sql(cumulative: str) -> str:
 
 @query("R10 A20 W4 P27 J6", _dep_sql("by_name"))
 def commodity_dependence(spark, sf_dir):
-    df = two_years(spark, sf_dir, *DEP_COLUMNS)
+    df = imports_fact(spark, sf_dir, *DEP_COLUMNS)
     return rounded(
         concentration.dependence(df, cumulative="name"),
         weight=4, dependence_pct=6, cumulative_pct=6,
@@ -152,7 +153,7 @@ def commodity_dependence(spark, sf_dir):
 
 @query("R10 A20 W3 P27", _dep_sql("by_value"))
 def commodity_dependence_by_value(spark, sf_dir):
-    df = two_years(spark, sf_dir, *DEP_COLUMNS)
+    df = imports_fact(spark, sf_dir, *DEP_COLUMNS)
     return rounded(
         concentration.dependence(df, cumulative="value"),
         weight=4, dependence_pct=6, cumulative_pct=6,
@@ -167,7 +168,7 @@ def commodity_dependence_by_value(spark, sf_dir):
           ORDER BY dependence_pct DESC, commodity_description LIMIT 20) d""",
 )
 def most_critical_commodities(spark, sf_dir):
-    df = two_years(spark, sf_dir, ITEM, "valuecif")
+    df = imports_fact(spark, sf_dir, ITEM, "valuecif")
     top = concentration.most_critical(concentration.dependence(df, details=False))
     top = top.select(ITEM, "valuecif", "dependence_pct", "dependence_level", "rank")
     return longs(rounded(top, dependence_pct=6), "rank")
@@ -175,7 +176,7 @@ def most_critical_commodities(spark, sf_dir):
 
 @query("A43", f"{DEP} SELECT dependence_level, count(*) AS row_count FROM dep GROUP BY 1")
 def dependence_level_counts(spark, sf_dir):
-    df = two_years(spark, sf_dir, ITEM, "valuecif")
+    df = imports_fact(spark, sf_dir, ITEM, "valuecif")
     return concentration.class_counts(
         concentration.dependence(df, details=False), "dependence_level"
     )
@@ -203,7 +204,7 @@ SCORED_DIGITS = {**CONC_DIGITS, "dependence_pct": 6, "combined_risk_score": 6}
     ORDER BY combined_risk_score DESC, commodity_description LIMIT 20) t""",
 )
 def combined_risk(spark, sf_dir):
-    df = two_years(spark, sf_dir, ITEM, COUNTRY, "valuecif")
+    df = imports_fact(spark, sf_dir, ITEM, COUNTRY, "valuecif")
     return rounded(concentration.combined_risk(df), **SCORED_DIGITS)
 
 
@@ -212,7 +213,7 @@ def combined_risk(spark, sf_dir):
     f"{SCORED} SELECT {SCORED_OUT} FROM scored WHERE total_value_billions >= 0.01",
 )
 def combined_risk_by_join(spark, sf_dir):
-    df = two_years(spark, sf_dir, *DEP_COLUMNS, COUNTRY)
+    df = imports_fact(spark, sf_dir, *DEP_COLUMNS, COUNTRY)
     risks = concentration.join_risks(concentration.concentration(df), concentration.dependence(df))
     return rounded(concentration.scored(risks, 0.01), **SCORED_DIGITS)
 
@@ -460,16 +461,6 @@ def commodity_share_of_top(spark, sf_dir):
     return rounded(reports.share_of_top(df, ITEM, (10, 20)), share_pct=6)
 
 
-@query(
-    "A44",
-    f" SELECT country_description, {SUMS} FROM imports GROUP BY 1",
-)
-def sampled_totals(spark, sf_dir):
-    """Exact below the sample size, which the given tables stay under."""
-    df = imports_fact(spark, sf_dir, COUNTRY, "valuefob", "valuecif", "weight")
-    return rounded(aggregates.sampled_totals(df, COUNTRY), weight=4)
-
-
 # ---------------------------------------------------------------- ports and countries
 
 PC = """,
@@ -477,12 +468,19 @@ pc AS (SELECT ausport_description AS p, country_description AS k, sum(valuecif)
        FROM imports GROUP BY 1, 2),
 sh AS (SELECT *, round_even(v::DOUBLE / (sum(v) OVER (PARTITION BY p))::DOUBLE * 100 * 100, 0) / 100 AS pct
        FROM pc)"""
-TOP_PC = """,
+def _top_pc(countries: int) -> str:
+    return f""",
 tp AS (SELECT ausport_description AS p FROM imports GROUP BY 1 ORDER BY sum(valuecif) DESC, 1 LIMIT 10),
-tk AS (SELECT country_description AS k FROM imports GROUP BY 1 ORDER BY sum(valuecif) DESC, 1 LIMIT 15),
+tk AS (SELECT country_description AS k FROM imports GROUP BY 1 ORDER BY sum(valuecif) DESC, 1 LIMIT {countries}),
 block AS (SELECT ausport_description AS p, country_description AS k, sum(valuecif) AS v
   FROM imports WHERE ausport_description IN (SELECT p FROM tp)
     AND country_description IN (SELECT k FROM tk) GROUP BY 1, 2)"""
+
+
+TOP_PC = _top_pc(15)
+TOP_SHARES = """SELECT p AS ausport_description, k AS country_description, v::DOUBLE AS valuecif,
+    round_even(v::DOUBLE / (sum(v) OVER (PARTITION BY p))::DOUBLE * 100 * 100, 0) / 100 AS pct_of_port
+    FROM block ORDER BY 1, 3 DESC"""
 PORT_COLUMNS = ("ausport_description", COUNTRY, "valuecif")
 
 
@@ -497,15 +495,19 @@ def port_country_shares(spark, sf_dir):
 
 @query(
     "A10 J4 T5",
-    f"""{TOP_PC} SELECT p AS ausport_description, k AS country_description, v::DOUBLE AS valuecif,
-    round_even(v::DOUBLE / (sum(v) OVER (PARTITION BY p))::DOUBLE * 100 * 100, 0) / 100 AS pct_of_port
-    FROM block ORDER BY 1, 3 DESC""",
+    f"{TOP_PC} {TOP_SHARES}",
 )
 def top_port_country_shares(spark, sf_dir):
     shares = matrix.port_country_shares(imports_fact(spark, sf_dir, *PORT_COLUMNS), base="top")
     return shares.orderBy("ausport_description", F.desc("valuecif"), COUNTRY)
 
 
+@query("A10 J4", f"{_top_pc(11)} {TOP_SHARES}")
+def top_port_shares_of_eleven(spark, sf_dir):
+    """Eleven countries: at some scales another list than the eleven largest inside the top ports."""
+    return matrix.port_country_shares(imports_fact(spark, sf_dir, *PORT_COLUMNS), base="top", countries=11)
+
+
 @query(
     "A11",
     f"""{PC} SELECT p AS port, sum(v)::DOUBLE AS total_value, count(k) AS num_countries,
@@ -516,18 +518,11 @@ def port_concentration(spark, sf_dir):
     return rounded(shares, total_value=2)
 
 
-MATRIX_COUNTRIES = [f"NATION_{i}" for i in range(15)]
-
-
-@query(
-    "V1",
-    f"""{TOP_PC} SELECT p AS ausport_description, {', '.join(
-        f"coalesce(sum(v) FILTER (k = '{c}'), 0)::DOUBLE / 1e9 AS {c}" for c in MATRIX_COUNTRIES)}
-    FROM block GROUP BY 1""",
-)
+@query("V1 J4 A10", f"{TOP_PC} SELECT p AS ausport_description, k AS country_description, v::DOUBLE AS valuecif FROM block")
 def port_country_matrix(spark, sf_dir):
+    """The matrix in long form; ``wide_matrix`` spreads it over columns that the caller names."""
     pairs = matrix.port_country_totals(imports_fact(spark, sf_dir, *PORT_COLUMNS))
-    return matrix.wide_matrix(matrix.top_block(pairs), MATRIX_COUNTRIES)
+    return aggregates.doubles(matrix.top_block(pairs))
 
 
 # ---------------------------------------------------------------- industries
@@ -649,9 +644,10 @@ def quadrant_summary(spark, sf_dir):
 
 # ---------------------------------------------------------------- trends
 
-SUPPLIERS = f""",
-s0 AS (SELECT country_description AS country, coalesce(sum(valuecif) FILTER (year = 2024), 0) AS a,
-         coalesce(sum(valuecif) FILTER (year = 2025), 0) AS b
+def _suppliers_sql(value: str) -> str:
+    return f""",
+s0 AS (SELECT country_description AS country, coalesce(sum({value}) FILTER (year = 2024), 0) AS a,
+         coalesce(sum({value}) FILTER (year = 2025), 0) AS b
        FROM imports WHERE year IN {PAIR} GROUP BY 1),
 s1 AS (SELECT country, a::DOUBLE AS value_2024, b::DOUBLE AS value_2025, (b - a)::DOUBLE AS absolute_change,
          coalesce((b::DOUBLE - a::DOUBLE) / nullif(a::DOUBLE, 0) * 100, 0) AS pct_change,
@@ -661,6 +657,9 @@ s AS (SELECT country, value_2024, value_2025, absolute_change, round(pct_change,
         round(share_2024, 6) AS share_2024, round(share_2025, 6) AS share_2025,
         round(share_2025 - share_2024, 6) AS share_change FROM s1
       WHERE value_2024 > 1e8 OR value_2025 > 1e8)"""
+
+
+SUPPLIERS = _suppliers_sql("valuecif")
 SUPPLIER_DIGITS = {"pct_change": 6, "share_2024": 6, "share_2025": 6, "share_change": 6}
 
 
@@ -674,6 +673,23 @@ def supplier_trends(spark, sf_dir):
     return _suppliers(spark, sf_dir)
 
 
+@query("R12 A21 V2", f"{_suppliers_sql('valuefob')} SELECT * FROM s")
+def supplier_trends_by_fob(spark, sf_dir):
+    df = imports_fact(spark, sf_dir, COUNTRY, "valuefob", "year")
+    return rounded(trends.supplier_trends(df, value="valuefob"), **SUPPLIER_DIGITS)
+
+
+@query(
+    "P17",
+    """ SELECT DISTINCT commodity_description, CASE WHEN length(commodity_description) > 12
+      THEN substring(commodity_description, 1, 8) || '...' ELSE commodity_description END AS label FROM imports""",
+)
+def short_labels(spark, sf_dir):
+    """Texts of more than 12 characters are cut after 8."""
+    df = imports_fact(spark, sf_dir, ITEM).distinct()
+    return df.withColumn("label", shorten(ITEM, 8, 12))
+
+
 @query(
     "R12 T3",
     f"""{SUPPLIERS} SELECT *, row_number() OVER (ORDER BY absolute_change, country) AS rank FROM s
@@ -823,15 +839,15 @@ def _insight_sql() -> str:
         "(SELECT sum(valuefob) FILTER (year = 2024) AS a, sum(valuefob) FILTER (year = 2025) AS b FROM f)"
     )
     return (
-        f", f AS (SELECT * FROM imports WHERE year IN {PAIR}), i AS ({' UNION ALL '.join(parts)}) "
+        f", f AS (SELECT * FROM imports), i AS ({' UNION ALL '.join(parts)}) "
         "SELECT insight, label, value, round(pct, 6) AS pct FROM i"
     )
 
 
 @query("R18 T7 W5", _insight_sql())
 def key_insights(spark, sf_dir):
-    df = two_years(spark, sf_dir, *reports.INSIGHTS, "year", "valuecif", "valuefob")
-    return rounded(reports.key_insights(df), pct=6)
+    df = imports_fact(spark, sf_dir, *reports.INSIGHTS, "year", "valuecif", "valuefob")
+    return rounded(reports.key_insights(df, (2024, 2025)), pct=6)
 
 
 def _summary_sql() -> str:

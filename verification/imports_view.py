@@ -9,12 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cargolens.sources.scan import spread
-
 FACT_COLUMNS = (
     "year",
     "month_number",
     "month",
+    "mode",
     "mode_description",
     "commodity_code",
     "commodity_description",
@@ -46,6 +45,11 @@ def _amount(factor):
     return (F.col("l_extendedprice") * factor * 100 * scale).cast("decimal(20,2)")
 
 
+def _mode_code():
+    flag = F.col("l_returnflag")
+    return F.when(flag == "A", "4").when(flag == "N", "1").otherwise("5")
+
+
 def _mode():
     flag = F.col("l_returnflag")
     return F.when(flag == "A", "AIR").when(flag == "N", "SEA").otherwise("POST")
@@ -65,6 +69,7 @@ _EXPRESSIONS = {
     "year": lambda: F.year("l_shipdate") + 24,
     "month_number": lambda: F.month("l_shipdate"),
     "month": lambda: F.date_format("l_shipdate", "MMMM"),
+    "mode": _mode_code,
     "mode_description": _mode,
     "commodity_code": lambda: (F.col("p_partkey") * 7919 % 100000).cast("string"),
     "commodity_description": lambda: F.concat(
@@ -85,19 +90,12 @@ _EXPRESSIONS = {
 }
 
 
-#: Schemas by path, so that a table's footer is read for its types only once.
-_SCHEMAS: dict = {}
-
-
 def _joined(spark: SparkSession, sf_dir: str, columns) -> DataFrame:
     def table(name: str) -> DataFrame:
-        path = f"{sf_dir}/{name}.parquet"
-        if path not in _SCHEMAS:
-            _SCHEMAS[path] = spark.read.parquet(path).schema
-        return spark.read.schema(_SCHEMAS[path]).parquet(path)
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
     columns = set(columns)
-    df = spread(table("lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
+    df = table("lineitem")
     if columns & _PART:
         part = table("part")
         df = df.join(part, df.l_partkey == part.p_partkey)
@@ -133,6 +131,7 @@ def imports_fact(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 RAW_HEADERS = {
     "month": "Month",
+    "mode": "Mode",
     "mode_description": "Mode Description",
     "commodity_code": "Commodity Code",
     "commodity_description": "Commodity Description",
@@ -219,6 +218,7 @@ lines AS (
     CAST(year(l_shipdate) + 24 AS INTEGER) AS year,
     CAST(month(l_shipdate) AS INTEGER) AS month_number,
     monthname(l_shipdate) AS month,
+    CASE l_returnflag WHEN 'A' THEN '4' WHEN 'N' THEN '1' ELSE '5' END AS mode,
     CASE l_returnflag WHEN 'A' THEN 'AIR' WHEN 'N' THEN 'SEA' ELSE 'POST' END AS mode_description,
     CAST(p_partkey * 7919 % 100000 AS VARCHAR) AS commodity_code,
     p_type || ' size ' || CAST(p_size AS VARCHAR) AS commodity_description,
@@ -250,7 +250,7 @@ RAW_SQL = f"""{LINES_SQL},
 raw AS (
   SELECT
     CASE WHEN l_partkey % 31 <> 0 THEN month || ' ' || CAST(year AS VARCHAR) END AS month,
-    mode_description, commodity_code,
+    mode, mode_description, commodity_code,
     CASE l_linenumber
       WHEN 1 THEN '  ' || replace(commodity_description, ' ', '   ') || ' '
       WHEN 2 THEN chr(9) || commodity_description || chr(10)
@@ -300,7 +300,7 @@ CLEAN_SQL = f"""{RAW_SQL},
 typed AS (
   SELECT regexp_extract(month, '^([A-Za-z]+)', 1) AS name,
     coalesce(CAST(nullif(regexp_extract(month, '(\\d{{4}})', 1), '') AS INTEGER), 0) AS year,
-    commodity_code, country_code, ausport_code, osport_code,
+    mode, commodity_code, country_code, ausport_code, osport_code,
     {', '.join(f"{text_sql(c)} AS {c}" for c in (
         'country_description', 'commodity_description', 'mode_description',
         'ausport_description', 'osport_description', 'state', 'unit_quantity'))},
@@ -311,7 +311,7 @@ typed AS (
 records AS (
   SELECT nullif(name, '') AS month, year,
     CAST(nullif(coalesce(list_position({_MONTHS}, name), 0), 0) AS INTEGER) AS month_number,
-    mode_description, commodity_code, commodity_description, country_code, country_description,
+    mode, mode_description, commodity_code, commodity_description, country_code, country_description,
     ausport_code, ausport_description, osport_code, osport_description, state,
     weight, valuefob, valuecif,
     CASE WHEN unit_quantity = 'Number' THEN round_even(quantity, 0) ELSE quantity END AS quantity,
