@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 #: Words, chunks and token pairs a Python worker remembers between batches, and characters encoded at a time.
-REMEMBERED, BLOCK_CHARS = 400_000, 4_000_000
+REMEMBERED, BLOCK_CHARS = 200_000, 2_000_000
 
 # The vocabulary's white space and word patterns.
 SPACES = regex.compile("[\t-\r \x85\xa0  -     　]+")
@@ -174,28 +175,8 @@ def loaded(path: str) -> WordBpe:
     return _LOADED[path]
 
 
-def encode(text: Column, vocabulary: str | None = None) -> Column:
-    """Token ids of whole texts as binary (little-endian unsigned 32-bit integers); null and empty texts have none."""
-    path = vocabulary or public_tokenizers.path("word_bpe_49k.json")
-
-    @F.pandas_udf("binary")
-    def of_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bpe = loaded(path)
-        for batch in batches:
-            out, held, size = [], [], 0
-            for text in batch:
-                held.append(text or "")
-                size += len(held[-1])
-                if size >= BLOCK_CHARS:
-                    out += bpe.encode(held)
-                    held, size = [], 0
-            yield pd.Series(out + bpe.encode(held), dtype=object)
-
-    return of_batches(text)
-
-
 def decode(ids: Column, vocabulary: str | None = None) -> Column:
-    """Text of token ids (special tokens kept); null for null."""
+    """Text of stored token ids (special tokens kept); null for null."""
     path = vocabulary or public_tokenizers.path("word_bpe_49k.json")
 
     @F.pandas_udf("string")
@@ -210,12 +191,40 @@ def decode(ids: Column, vocabulary: str | None = None) -> Column:
 def encode_documents(
     docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``(doc_id, n_tokens, ids, decoded)`` of every row; repeated rows, ids and null ids stay, other columns are not
-    read. An empty table gives an empty table. The vocabulary file must be readable under one path on all executors.
+    """``(doc_id, n_tokens, ids, decoded)`` of every row.
+
+    ``ids`` are little-endian unsigned 32-bit integers, none for a null or empty text; ``decoded`` is made from them.
+    Repeated rows, ids and null ids stay, other columns are not read. An empty table gives an empty table. The
+    vocabulary file must be readable under one path on all executors.
     """
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), encode(F.col(f"`{text_col}`"), vocabulary).alias("ids"))
-    size = F.octet_length("ids").cast("long") / 4
-    return rows.select("doc_id", size.cast("long").alias("n_tokens"), "ids", decode(F.col("ids"), vocabulary).alias("decoded"))
+    path = vocabulary or public_tokenizers.path("word_bpe_49k.json")
+
+    def done(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = loaded(path)
+
+        def block(documents: list, texts: list[str]) -> pa.RecordBatch:
+            ids = bpe.encode(texts)
+            columns = [
+                pa.array(documents, pa.int64()),
+                pa.array([len(i) // 4 for i in ids], pa.int64()),
+                pa.array(ids, pa.binary()),
+                pa.array(map(bpe.decode, ids), pa.string()),
+            ]
+            return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids", "decoded"])
+
+        for batch in batches:
+            documents, texts, size = [], [], 0
+            for document, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                documents.append(document)
+                texts.append(text.as_py() or "")
+                size += len(texts[-1])
+                if size >= BLOCK_CHARS:
+                    yield block(documents, texts)
+                    documents, texts, size = [], [], 0
+            yield block(documents, texts)
+
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    return rows.mapInArrow(done, "doc_id long, n_tokens long, ids binary, decoded string")
 
 
 def op3_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
