@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: ASCII white space as the operators' contracts define it: space and U+0009 to U+000D.
@@ -17,6 +17,19 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
 
 
+#: Bytes of an Arrow batch that goes to a Python worker: documents may be very long, so rows are no measure.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by bytes.
+
+    Called by the operators that run Python, before they make their plan. Without it a batch holds 10,000 documents,
+    whatever their size, several times over in the JVM and in the worker.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def columns_of(df: DataFrame) -> list[Column]:
     """The frame's columns, whatever characters their names have."""
     return [F.col(f"`{c}`") for c in df.columns]

@@ -26,10 +26,13 @@ from tokenizers import Tokenizer
 
 import public_tokenizers
 
+from cargolens.llm.columns import bounded_batches
+
 WINDOW = 2048
 END = 1
-#: Distinct space-separated chunks whose ids a Python worker keeps; it starts anew when full.
-CACHED = 400_000
+#: Distinct space-separated chunks whose ids a Python worker keeps, in two generations: when the younger is full, the
+#: elder goes, so frequent chunks stay.
+CACHED = 200_000
 K1, B = 1.2, 0.75
 
 
@@ -40,11 +43,16 @@ class ByteEncoder(dict):
     space that ends the text; such texts, and texts with a special token, go through the tokenizers library.
     """
 
-    ODD = re.compile(r"\s \s|\s $|<\|endoftext\|>")
+    ODD = re.compile(r"\s \s|\s $")
+    #: What a text must hold for that, as plain searches are faster: white space before a space.
+    PAIRS = [c + " " for c in map(chr, range(0x80)) if c.isspace()]
+    WIDE_PAIRS = [c + " " for c in map(chr, range(0x80, 0x10000)) if c.isspace()]
 
     def __init__(self, vocabulary: str, ranks: str):
         super().__init__()
+        self.elder: dict[str, bytes] = {}
         self.library = Tokenizer.from_file(vocabulary)
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.library.no_truncation()
         self.library.no_padding()
         with open(ranks, "rb") as lines:
@@ -56,12 +64,20 @@ class ByteEncoder(dict):
 
     def __missing__(self, chunk: str) -> bytes:
         if len(self) >= CACHED:
+            self.elder = dict(self)
             self.clear()
-        ids = self[chunk] = self.plain(" " + chunk)
+        ids = self.elder.get(chunk)
+        if ids is None:
+            ids = self.plain(" " + chunk)
+        self[chunk] = ids
         return ids
 
+    def odd(self, text: str) -> bool:
+        pairs = self.PAIRS if text.isascii() else self.PAIRS + self.WIDE_PAIRS
+        return any(t in text for t in self.special) or (any(p in text for p in pairs) and bool(self.ODD.search(text)))
+
     def ids(self, text: str) -> np.ndarray:
-        if self.ODD.search(text):
+        if self.odd(text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
         chunks = text.split(" ")
         first = self.plain(chunks[0])
@@ -221,6 +237,7 @@ def pack(
     empty table gives an empty table. ``window`` must be a power of two. The vocabulary files must be readable under
     the same path on all executors.
     """
+    bounded_batches(docs.sparkSession)
     vocabulary = vocabulary or public_tokenizers.path("byte_bpe_50k.json")
     ranks = ranks or public_tokenizers.path("byte_bpe_50k.tiktoken")
 
