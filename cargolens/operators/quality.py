@@ -166,20 +166,14 @@ def fractional_examples(df: DataFrame, order, k: int = 5) -> DataFrame:
 
 
 def unit_variants(df: DataFrame, unit: str = "unit_quantity") -> DataFrame:
-    """Units that differ only in case and outer blanks: base form and spellings.
+    """Units that differ only in case and outer blanks: ``(base_unit, unit, spellings)``, a row for each spelling.
 
-    Spellings are made distinct first, so a list holds each spelling once.
+    A join with the counts instead of a list: a base form may have any number of spellings.
     """
-    spellings = df.where(F.col(unit).isNotNull()).select(unit).distinct()
-    base = strip(F.lower(unit))
-    return (
-        spellings.groupBy(base.alias("base_unit"))
-        .agg(
-            F.count(F.lit(1)).alias("spellings"),
-            F.array_join(F.array_sort(F.collect_list(unit)), " | ").alias("variants"),
-        )
-        .where("spellings > 1")
-    )
+    variants = df.where(F.col(unit).isNotNull()).select(unit).distinct()
+    variants = variants.select(strip(F.lower(unit)).alias("base_unit"), unit)
+    counts = variants.groupBy("base_unit").agg(F.count(F.lit(1)).alias("spellings"))
+    return variants.join(counts.where("spellings > 1"), "base_unit")
 
 
 def non_positive_quantities(df: DataFrame, quantity: str = "quantity") -> DataFrame:

@@ -234,8 +234,8 @@ def fractional_examples(spark, sf_dir):
 @query(
     "R2 A37",
     """, s AS (SELECT DISTINCT unit_quantity AS u FROM raw)
-    SELECT lower(trim(u)) AS base_unit, count(*) AS spellings, string_agg(u, ' | ' ORDER BY u) AS variants
-    FROM s GROUP BY 1 HAVING count(*) > 1""",
+    SELECT lower(trim(u)) AS base_unit, u AS unit_quantity, count(*) OVER (PARTITION BY lower(trim(u))) AS spellings
+    FROM s QUALIFY spellings > 1""",
     RAW_SQL,
 )
 def unit_variants(spark, sf_dir):
