@@ -24,13 +24,13 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cargolens.llm.columns import bucket, packed, unpacked
+from cargolens.llm.columns import bounded_batches, bucket, packed, unpacked
 
 ORDER, SYMBOLS = 3, 40
 #: Languages whose counts a task holds before it hands them on.
 HELD = 8
 #: Bytes that are counted or scored at a time.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 
@@ -45,7 +45,7 @@ _DIGITS = bytes.maketrans(b"123456789", b"0" * 9)
 
 def symbol_table(counts: dict[int, int], symbols: int) -> np.ndarray:
     """Byte to symbol: the ``symbols - 1`` most frequent bytes in order (ties: smaller byte), 0 for all others."""
-    table = np.zeros(256, np.int64)
+    table = np.zeros(256, np.int32)
     for rank, byte in enumerate(sorted(counts, key=lambda b: (-counts[b], b))[: symbols - 1]):
         table[byte] = rank + 1
     return table
@@ -53,8 +53,8 @@ def symbol_table(counts: dict[int, int], symbols: int) -> np.ndarray:
 
 def contexts(codes: np.ndarray, order: int, symbols: int) -> np.ndarray:
     """At each position the number of its ``order`` preceding symbols and its own; symbol 0 stands before the text."""
-    padded = np.concatenate([np.zeros(order, np.int64), codes])
-    out = np.zeros(len(codes), np.int64)
+    padded = np.concatenate([np.zeros(order, codes.dtype), codes])
+    out = np.zeros(len(codes), np.int64 if symbols ** (order + 1) >= 1 << 31 else np.int32)
     for k in range(order + 1):
         out = out * symbols + padded[k : k + len(codes)]
     return out
@@ -83,13 +83,14 @@ def train(docs: DataFrame, order: int = ORDER, symbols: int = SYMBOLS) -> tuple[
     ``docs`` has ``text`` and ``lang``; rows with a null are not learned from. What reaches the driver is at most
     256 byte counts and ``symbols ** (order + 1)`` counts for each language.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select("text", "lang").where("text is not null and lang is not null")
 
     def bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(256, np.int64)
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                total += np.bincount(folded(text), minlength=256)
+            for text in batch.column("text"):
+                total += np.bincount(folded(text.as_py()), minlength=256)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["byte", "n"])
 
@@ -100,7 +101,15 @@ def train(docs: DataFrame, order: int = ORDER, symbols: int = SYMBOLS) -> tuple[
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(size, np.int64))
 
+        waiting: dict[str, list[np.ndarray]] = defaultdict(list)
+
+        def count(lang: str) -> None:
+            seen, n = np.unique(np.concatenate(waiting.pop(lang)), return_counts=True)
+            held[lang][seen] += n
+
         def hand_on():
+            for lang in list(waiting):
+                count(lang)
             for lang, total in held.items():
                 seen = np.flatnonzero(total)
                 columns = [pa.array([lang]).take(pa.array(np.zeros(len(seen), int))), pa.array(seen), pa.array(total[seen])]
@@ -108,14 +117,15 @@ def train(docs: DataFrame, order: int = ORDER, symbols: int = SYMBOLS) -> tuple[
             held.clear()
 
         for batch in batches:
-            parts = defaultdict(list)
-            for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
-                parts[lang].append(contexts(table[folded(text)], order, symbols))
-            for lang, grams in parts.items():
-                if lang not in held and len(held) == HELD:
+            for text, lang in zip(batch.column("text"), batch.column("lang").to_pylist()):
+                if lang not in waiting and len(held.keys() | waiting.keys()) >= HELD:
                     yield from hand_on()
-                seen, n = np.unique(np.concatenate(grams), return_counts=True)
-                held[lang][seen] += n
+                codes = table[folded(text.as_py())]
+                for at in range(0, len(codes), BLOCK):
+                    first = max(0, at - order)
+                    waiting[lang].append(contexts(codes[first : at + BLOCK], order, symbols)[at - first :])
+                    if sum(map(len, waiting[lang])) >= BLOCK:
+                        count(lang)
         yield from hand_on()
 
     counted = rows.mapInArrow(grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -148,6 +158,7 @@ def predicted(text: Column, spark: SparkSession, model, order: int = ORDER, symb
     The score is the winner's share when each language weighs 2 to the minus code length. Equal code lengths go to
     the language that comes first in the alphabet.
     """
+    bounded_batches(spark)
     names, table, bits = model
     shared = spark.sparkContext.broadcast((table, bits))
 

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cargolens.llm.columns import bucket
+from cargolens.llm.columns import bounded_batches, bucket
 from cargolens.storage import stored
 
 CLASSES, DIMS, FREQUENT = 512, 32, 65_536
@@ -252,6 +252,7 @@ def score(
     if frequent < classes:
         raise ValueError("frequent tokens must include all classes")
     spark = docs.sparkSession
+    bounded_batches(spark)
     table = stored(count_tokens(learn_from.select("text")), "token-counts")
     counts = corpus_counts(table, frequent)
     model = train(learn_from.select("text"), counts, classes, dims)

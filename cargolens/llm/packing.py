@@ -30,9 +30,9 @@ from cargolens.llm.columns import bounded_batches
 
 WINDOW = 2048
 END = 1
-#: Distinct space-separated chunks whose ids a Python worker keeps, in two generations: when the younger is full, the
-#: elder goes, so frequent chunks stay.
-CACHED = 200_000
+#: Distinct space-separated chunks whose ids a task keeps, in two generations: when the younger is full, the elder
+#: goes, so frequent chunks stay.
+CACHED = 150_000
 K1, B = 1.2, 0.75
 
 
@@ -72,6 +72,10 @@ class ByteEncoder(dict):
         self[chunk] = ids
         return ids
 
+    def forget(self) -> None:
+        self.clear()
+        self.elder = {}
+
     def odd(self, text: str) -> bool:
         pairs = self.PAIRS if text.isascii() else self.PAIRS + self.WIDE_PAIRS
         return any(t in text for t in self.special) or (any(p in text for p in pairs) and bool(self.ODD.search(text)))
@@ -88,7 +92,7 @@ _ENCODERS: dict[tuple[str, str], ByteEncoder] = {}
 
 
 def encoder(vocabulary: str, ranks: str) -> ByteEncoder:
-    """This worker's encoder, kept between tasks."""
+    """This worker's encoder, kept between tasks without its chunks: other stages need the memory."""
     if (vocabulary, ranks) not in _ENCODERS:
         _ENCODERS[vocabulary, ranks] = ByteEncoder(vocabulary, ranks)
     return _ENCODERS[vocabulary, ranks]
@@ -255,6 +259,7 @@ def pack(
                     yield packer.taken()
                     held = tokens = 0
         packer.finish()
+        encode.forget()
         yield packer.taken()
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cargolens.llm.columns import packed
+from cargolens.llm.columns import bounded_batches, packed
 from cargolens.llm.components import components, local_components
 from cargolens.storage import stored
 
@@ -220,6 +220,7 @@ def simhash_groups(
     non-null id, or null where there is none. ``group`` numbers the component in any case. ``sign`` is a 64-bit hash of
     the text, for joining rows back. Other columns are not read. An empty table gives an empty table.
     """
+    bounded_batches(docs.sparkSession)
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("sign"), fingerprints(F.col("text"), shingle).alias("fp"))
