@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-#: Words, chunks and token pairs a Python worker remembers between batches, and characters encoded at a time.
-REMEMBERED, BLOCK_CHARS = 200_000, 2_000_000
+from cargolens.llm.columns import bounded_batches
+
+#: Words and chunks, and pairs of tokens, a Python worker remembers between batches; characters encoded at a time.
+REMEMBERED, PAIRS, BLOCK_CHARS = 200_000, 600_000, 2_000_000
 
 # The vocabulary's white space and word patterns.
 SPACES = regex.compile("[\t-\r \x85\xa0  -     　]+")
@@ -60,7 +62,7 @@ class WordBpe:
         letters = byte_letters()
         self.letters = {b: c for b, c in enumerate(letters) if c != chr(b)}
         self.alone: dict[str, bool] = {}
-        self.beside: dict[tuple[str, str], bool] = {}
+        self.beside: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
 
@@ -90,42 +92,51 @@ class WordBpe:
 
     def fits(self, left: str, right: str) -> bool:
         """Whether two tokens stay apart when they stand side by side."""
-        known = self.beside.get((left, right))
+        pair = self.vocab[left] << 32 | self.vocab[right]
+        known = self.beside.get(pair)
         if known is None:
-            if len(self.beside) >= REMEMBERED:
+            if len(self.beside) >= PAIRS:
                 self.beside.clear()
             joined = self.symbols(left) + self.symbols(right)
-            known = self.beside[left, right] = self.merged(joined) == [left, right]
+            known = self.beside[pair] = self.merged(joined) == [left, right]
         return known
 
     def encode_words(self, words: list[str]) -> None:
-        """Depth-first over the trie of words (as byte letters): fills ``self.words`` with their ids."""
-        vocab, longest, suffix, id_bytes = self.vocab, self.longest, self.suffix, self.id_bytes
-        last, ids, path = [""], [b""], ""
-
-        def state(prefix: str, ending: str) -> tuple[str, bytes]:
-            size = len(prefix)
-            for length in range(min(size, longest), 0, -1):
-                token = prefix[size - length :] + ending
-                if token in vocab:
-                    before = last[size - length]
-                    if self.whole(token) and (length == size or self.fits(before, token)):
-                        return token, ids[size - length] + id_bytes[token]
-            raise ValueError(f"no token ends {prefix!r}")
+        """Depth-first over the trie of words (as byte letters): fills ``self.words`` with their ids.
 
+        Exactly one token can end a prefix, so candidates may be tried in any order: first the last token grown by the
+        new letter, then every token that ends the prefix, longest first.
+        """
+        vocab, id_bytes = self.vocab, self.id_bytes
+        last, ids, path = [""], [b""], ""
         for word in sorted(words):
-            common = 0
+            size, common = len(word), 0
             for a, b in zip(word[:-1], path):
                 if a != b:
                     break
                 common += 1
             del last[common + 1 :], ids[common + 1 :]
             path = word[:-1]
-            for depth in range(common + 1, len(word)):
-                token, encoded = state(word[:depth], "")
-                last.append(token)
-                ids.append(encoded)
-            self.words[word] = state(word, suffix)[1]
+            for depth in range(common + 1, size + 1):
+                ending = self.suffix if depth == size else ""
+                before = last[depth - 1]
+                start = depth - 1 - len(before)
+                token = before + word[depth - 1] + ending
+                if token not in vocab or not (self.fits(last[start], token) if start else self.whole(token)):
+                    start, token = self.last_token(word, depth, ending, last)
+                if depth == size:
+                    self.words[word] = ids[start] + id_bytes[token]
+                else:
+                    last.append(token)
+                    ids.append(ids[start] + id_bytes[token])
+
+    def last_token(self, word: str, depth: int, ending: str, last: list[str]) -> tuple[int, str]:
+        """Where the token that ends a prefix begins, and the token, from the last tokens of all shorter prefixes."""
+        for start in range(max(0, depth - self.longest), depth):
+            token = word[start:depth] + ending
+            if token in self.vocab and (self.fits(last[start], token) if start else self.whole(token)):
+                return start, token
+        raise ValueError(f"no token ends {word[:depth]!r}")
 
     def normalized(self, text: str) -> list[str]:
         """Chunks between white space of a text in NFC and lower case (each character on its own, as sigma shows)."""
@@ -135,6 +146,8 @@ class WordBpe:
         return SPACES.split(text) if SEPARATORS.search(text) else text.split()
 
     def letters_of(self, word: str) -> str:
+        if word.isascii() and word.isprintable():  # every byte stands for itself
+            return word
         return word.encode().decode("latin-1").translate(self.letters)
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -197,6 +210,7 @@ def encode_documents(
     Repeated rows, ids and null ids stay, other columns are not read. An empty table gives an empty table. The
     vocabulary file must be readable under one path on all executors.
     """
+    bounded_batches(docs.sparkSession)
     path = vocabulary or public_tokenizers.path("word_bpe_49k.json")
 
     def done(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
