@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from cargolens.llm.columns import bounded_batches, bucket, packed, unpacked
 
 ORDER, SYMBOLS = 3, 40
-#: Languages whose counts a task holds before it hands them on.
-HELD = 8
+#: Languages whose counts a task holds, and bytes it counts, before it hands them on: 32-bit counts can't overflow.
+HELD, MOST = 8, 1 << 30
 #: Bytes that are counted or scored at a time.
 BLOCK = 1 << 18
 UNKNOWN = "und"
@@ -99,28 +99,31 @@ def train(docs: DataFrame, order: int = ORDER, symbols: int = SYMBOLS) -> tuple[
     size = symbols ** (order + 1)
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(size, np.int64))
+        held: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(size, np.uint32))
 
         waiting: dict[str, list[np.ndarray]] = defaultdict(list)
+        counted = 0
 
         def count(lang: str) -> None:
             seen, n = np.unique(np.concatenate(waiting.pop(lang)), return_counts=True)
-            held[lang][seen] += n
+            held[lang][seen] += n.astype(np.uint32)
 
         def hand_on():
             for lang in list(waiting):
                 count(lang)
             for lang, total in held.items():
                 seen = np.flatnonzero(total)
-                columns = [pa.array([lang]).take(pa.array(np.zeros(len(seen), int))), pa.array(seen), pa.array(total[seen])]
+                columns = [pa.array([lang]).take(pa.array(np.zeros(len(seen), int))), pa.array(seen), pa.array(total[seen].astype(np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n"])
             held.clear()
 
         for batch in batches:
             for text, lang in zip(batch.column("text"), batch.column("lang").to_pylist()):
-                if lang not in waiting and len(held.keys() | waiting.keys()) >= HELD:
+                if counted > MOST or lang not in held.keys() | waiting.keys() and len(held.keys() | waiting.keys()) >= HELD:
                     yield from hand_on()
+                    counted = 0
                 codes = table[folded(text.as_py())]
+                counted += len(codes)
                 for at in range(0, len(codes), BLOCK):
                     first = max(0, at - order)
                     waiting[lang].append(contexts(codes[first : at + BLOCK], order, symbols)[at - first :])
