@@ -6,15 +6,14 @@ is coded by the next shorter context, excluding the bytes the longer one has see
 equal. The code length of a text, in bits, is exact, and the statistics are frozen after training, so a text's length
 under a language is a sum over its positions. The shortest code wins.
 
-Bytes are mapped to ``symbols`` classes: A-Z lowered, digits as one, the most frequent bytes of the training texts
-each on their own and all others as one. Contexts are the preceding ``order`` symbols. A whole tree then is a table
-of ``symbols ** (order + 1)`` code lengths: its size is set by the parameters, not by the corpus, so it can be
-broadcast. Training counts come from all learning rows: tasks count their own rows with numpy, Spark adds them up.
+All 256 byte values count, A-Z lowered and digits as one: a language whose letters are rare in the whole corpus keeps
+them. Contexts are the preceding ``order`` bytes; a mark that is no byte stands before the text. Only what occurs in
+training is kept, in hash tables that up to ``TOGETHER`` languages share (``Forest``), so the model's size follows the
+distinct contexts, not the corpus or the alphabet. Training counts come from all learning rows: tasks count their own rows with numpy, Spark adds them up.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,9 +25,12 @@ from pyspark.sql import functions as F
 
 from cargolens.llm.columns import bounded_batches, bucket, packed, unpacked
 
-ORDER, SYMBOLS = 3, 40
-#: Languages whose counts a task holds, and bytes it counts, before it hands them on: 32-bit counts can't overflow.
-HELD, MOST = 8, 1 << 30
+#: Preceding bytes of a context; the byte values and the mark before the text.
+ORDER, SYMBOLS = 3, 257
+#: Distinct n-grams a task holds, and bytes of a language that wait to be counted, before it hands them on.
+HELD = 1 << 20
+#: Languages whose code lengths stand side by side under one key.
+TOGETHER = 8
 #: Bytes that are counted or scored at a time.
 BLOCK = 1 << 18
 UNKNOWN = "und"
@@ -77,103 +79,206 @@ def code_lengths(counts: np.ndarray, order: int, symbols: int) -> np.ndarray:
     return -np.log2(bits).astype(np.float32)
 
 
-def train(docs: DataFrame, order: int = ORDER, symbols: int = SYMBOLS) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Languages in alphabetical order, the byte table, and code lengths ``[context and symbol, language]``.
+class Lookup:
+    """Open-addressing hash table from non-negative int64 keys, each given once, to numbers."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(4, (3 * len(keys)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.values = np.zeros(1 << self.bits, values.dtype)
+        slot = self._slot(keys)
+        while len(keys):
+            free = self.keys[slot] < 0
+            self.keys[slot[free]] = keys[free]
+            placed = self.keys[slot] == keys
+            self.values[slot[placed]] = values[placed]
+            keys, values, slot = keys[~placed], values[~placed], (slot[~placed] + 1) % len(self.keys)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each key is there, and its value (0 without)."""
+        slot = self._slot(keys)
+        there = self.keys[slot]
+        found = there == keys
+        values = np.where(found, self.values[slot], 0)
+        left = np.flatnonzero(~found & (there >= 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) % len(self.keys)
+            there = self.keys[slot[left]]
+            hit = there == keys[left]
+            found[left[hit]] = True
+            values[left[hit]] = self.values[slot[left[hit]]]
+            left = left[~hit & (there >= 0)]
+        return found, values
+
+
+class Tree:
+    """A language's code lengths: of each n-gram seen in training, and what an unseen one adds to the next shorter one.
+
+    Made from the distinct n-grams of ``order + 1`` symbols in ascending order, and their counts. Symbol 0 is the mark
+    before the text, which is never coded itself.
+    """
 
-    ``docs`` has ``text`` and ``lang``; rows with a null are not learned from. What reaches the driver is at most
-    256 byte counts and ``symbols ** (order + 1)`` counts for each language.
+    def __init__(self, grams: np.ndarray, counts: np.ndarray, order: int, symbols: int):
+        self.order, self.symbols = order, symbols
+        keys, bits, places, more = [], [], [], []
+        shorter = None  # of the next shorter n-grams: keys, probabilities, contexts, kinds of followers, escapes
+        for k in range(order + 1):
+            own, place = np.unique(grams % symbols ** (k + 1), return_inverse=True)
+            n = np.bincount(place, counts, len(own))
+            context, first = np.unique(own // symbols, return_index=True)
+            total, kinds = np.add.reduceat(n, first), np.diff(first, append=len(own))
+            # all bytes seen: nothing is left to escape to
+            escape = np.where(kinds == symbols - 1, 0.0, kinds / (total + kinds))
+            if shorter is None:
+                left = 1 - kinds / (symbols - 1)
+            else:
+                known, share, contexts_below, kinds_below, escape_below = shorter
+                seen = np.add.reduceat(share[np.searchsorted(known, own % symbols**k)], first)
+                below = np.searchsorted(contexts_below, context % symbols ** max(k - 1, 0))
+                # the same followers: exactly the shorter context's escape is left, without a difference of near numbers
+                left = np.where(kinds == kinds_below[below], escape_below[below], 1 - seen)
+            found = n / np.repeat(total, kinds) * (1 - np.repeat(escape, kinds))
+            keys.append(self._key(own, k))
+            bits.append(-np.log2(found))
+            places.append(self._key(context, k - 1))
+            more.append(np.where(escape > 0, -np.log2(np.where(escape > 0, escape, 1) / np.where(left > 0, left, 1)), 0.0))
+            shorter = own, found, context, kinds, escape
+        self.keys, self.places = np.concatenate(keys), np.concatenate(places)
+        self.seen, self.escapes = Lookup(self.keys, np.concatenate(bits)), Lookup(self.places, np.concatenate(more))
+
+    def _key(self, grams: np.ndarray, order: int) -> np.ndarray:
+        """N-grams of all orders as different numbers, shorter ones first; the empty one is 0."""
+        return grams + sum(self.symbols**j for j in range(order + 1))
+
+
+class Forest:
+    """Code lengths under several trees: a row for each n-gram that any of them has seen."""
+
+    def __init__(self, trees: list[Tree]):
+        one = trees[0]
+        self.order, self.symbols, self._key = one.order, one.symbols, one._key
+        keys, places = (np.unique(np.concatenate(x)) for x in ([t.keys for t in trees], [t.places for t in trees]))
+        self.none = np.full(len(trees), np.log2(self.symbols - 1))
+        self.more = np.stack([t.escapes.get(places)[1] for t in trees], axis=1).astype(np.float32)
+        self.rows, self.places = Lookup(keys, np.arange(len(keys))), Lookup(places, np.arange(len(places)))
+        self.bits = np.empty((len(keys), len(trees)), np.float32)
+        for k in range(self.order + 1):  # a tree without the n-gram escapes to the next shorter one, whose row is done
+            low, high = np.searchsorted(keys, [self._key(0, k), self._key(0, k + 1)])
+            own = keys[low:high] - self._key(0, k)
+            shorter = self.bits[self.rows.get(self._key(own % self.symbols**k, k - 1))[1]] if k else self.none
+            escaped = self.more[self.places.get(self._key(own // self.symbols, k - 1))[1]] + shorter
+            for i, tree in enumerate(trees):
+                found, bits = tree.seen.get(keys[low:high])
+                self.bits[low:high, i] = np.where(found, bits, escaped[:, i])
+
+    def lengths(self, grams: np.ndarray) -> np.ndarray:
+        """Bits of the last symbol of all n-grams together, under each tree."""
+        total = np.zeros(len(self.none))
+        for k in range(self.order, -1, -1):
+            found, row = self.rows.get(self._key(grams, k))
+            total += self.bits[row[found]].sum(axis=0, dtype=np.float64)
+            grams = grams[~found]
+            if not len(grams):
+                return total
+            there, row = self.places.get(self._key(grams // self.symbols, k - 1))
+            total += self.more[row[there]].sum(axis=0, dtype=np.float64)
+            grams = grams % self.symbols**k
+        return total + len(grams) * self.none
+
+
+def train(docs: DataFrame, order: int = ORDER) -> tuple[list[str], np.ndarray, list[Forest]]:
+    """Languages in alphabetical order, the symbol of each byte, and the code lengths under their trees.
+
+    ``docs`` has ``text`` and ``lang``; rows with a null are not learned from. What reaches the driver is one count for
+    each distinct n-gram of ``order + 1`` bytes of each language.
     """
     bounded_batches(docs.sparkSession)
     rows = docs.select("text", "lang").where("text is not null and lang is not null")
-
-    def bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(256, np.int64)
-        for batch in batches:
-            for text in batch.column("text"):
-                total += np.bincount(folded(text.as_py()), minlength=256)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["byte", "n"])
-
-    counted = rows.mapInArrow(bytes_of, "byte long, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect()
-    table = symbol_table({r.byte: r.n for r in counted}, symbols)
-    size = symbols ** (order + 1)
+    table = np.arange(1, SYMBOLS, dtype=np.int64)
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(size, np.uint32))
-
-        waiting: dict[str, list[np.ndarray]] = defaultdict(list)
-        counted = 0
-
-        def count(lang: str) -> None:
-            seen, n = np.unique(np.concatenate(waiting.pop(lang)), return_counts=True)
-            held[lang][seen] += n.astype(np.uint32)
-
-        def hand_on():
-            for lang in list(waiting):
-                count(lang)
-            for lang, total in held.items():
-                seen = np.flatnonzero(total)
-                columns = [pa.array([lang]).take(pa.array(np.zeros(len(seen), int))), pa.array(seen), pa.array(total[seen].astype(np.int64))]
+        held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        waiting: dict[str, list[np.ndarray]] = {}
+        waits = 0
+
+        def count() -> None:
+            for lang, parts in waiting.items():
+                seen, n = np.unique(np.concatenate(parts), return_counts=True)
+                before = held.get(lang, (seen[:0], n[:0]))
+                every, place = np.unique(np.concatenate([before[0], seen]), return_inverse=True)
+                held[lang] = every, np.bincount(place, np.concatenate([before[1], n]), len(every)).astype(np.int64)
+            waiting.clear()
+
+        def hand_on() -> Iterator[pa.RecordBatch]:
+            for lang, (seen, n) in held.items():
+                columns = [pa.array([lang]).take(pa.array(np.zeros(len(seen), int))), pa.array(seen), pa.array(n)]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n"])
             held.clear()
 
         for batch in batches:
             for text, lang in zip(batch.column("text"), batch.column("lang").to_pylist()):
-                if counted > MOST or lang not in held.keys() | waiting.keys() and len(held.keys() | waiting.keys()) >= HELD:
-                    yield from hand_on()
-                    counted = 0
                 codes = table[folded(text.as_py())]
-                counted += len(codes)
                 for at in range(0, len(codes), BLOCK):
                     first = max(0, at - order)
-                    waiting[lang].append(contexts(codes[first : at + BLOCK], order, symbols)[at - first :])
-                    if sum(map(len, waiting[lang])) >= BLOCK:
-                        count(lang)
+                    part = contexts(codes[first : at + BLOCK], order, SYMBOLS)[at - first :]
+                    waiting.setdefault(lang, []).append(part)
+                    waits += len(part)
+                    if waits >= 4 * BLOCK:
+                        count()
+                        waits = 0
+                        if sum(len(seen) for seen, _ in held.values()) >= HELD:
+                            yield from hand_on()
+        count()
         yield from hand_on()
 
     counted = rows.mapInArrow(grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counted = counted.toArrow()
-    names = sorted(set(counted.column("lang").to_pylist()))
-    lang, gram, n = (counted.column(c).to_numpy() for c in ("lang", "gram", "n"))
-    bits = np.zeros((size, len(names)), np.float32)
+    lang = counted.column("lang").combine_chunks().dictionary_encode()
+    names, place = lang.dictionary.to_pylist(), lang.indices.to_numpy()
+    gram, n = (counted.column(c).to_numpy() for c in ("gram", "n"))
+    trees = {}
     for i, name in enumerate(names):
-        total = np.zeros(size, np.int64)
-        own = lang == name
-        total[gram[own]] = n[own]
-        bits[:, i] = code_lengths(total, order, symbols).reshape(-1)
-    return names, table, bits
+        own = np.flatnonzero(place == i)
+        own = own[np.argsort(gram[own])]
+        trees[name] = Tree(gram[own], n[own], order, SYMBOLS)
+    names.sort()
+    return names, table, [Forest([trees[x] for x in names[i : i + TOGETHER]]) for i in range(0, len(names), TOGETHER)]
 
 
-def lengths(text: str, table: np.ndarray, bits: np.ndarray, order: int, symbols: int) -> np.ndarray:
-    """Code length of a text under each language, in bits."""
+def lengths(text: str, table: np.ndarray, bits: np.ndarray | list[Forest], order: int, symbols: int) -> np.ndarray:
+    """Code length of a text under each language, in bits, from trees or a table ``[context and symbol, language]``."""
     codes = table[folded(text)]
-    total = np.zeros(bits.shape[1])
+    forests = isinstance(bits, list)
+    total = np.zeros(sum(len(f.none) for f in bits) if forests else bits.shape[1])
     for at in range(0, len(codes), BLOCK):
         first = max(0, at - order)
         grams = contexts(codes[first : at + BLOCK], order, symbols)[at - first :]
-        total += bits[grams].sum(axis=0, dtype=np.float64)
+        total += np.concatenate([f.lengths(grams) for f in bits]) if forests else bits[grams].sum(axis=0, dtype=np.float64)
     return total
 
 
-def predicted(text: Column, spark: SparkSession, model, order: int = ORDER, symbols: int = SYMBOLS) -> Column:
+def predicted(text: Column, spark: SparkSession, model, order: int = ORDER) -> Column:
     """``struct(lang, score)`` of a text column; ``und`` and 0 for null, letterless and unlearnable texts.
 
     The score is the winner's share when each language weighs 2 to the minus code length. Equal code lengths go to
     the language that comes first in the alphabet.
     """
     bounded_batches(spark)
-    names, table, bits = model
-    shared = spark.sparkContext.broadcast((table, bits))
+    names, table, forests = model
+    shared = spark.sparkContext.broadcast((table, forests))
 
     @F.pandas_udf("lang string, score double")
     def of_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        table, bits = shared.value
+        table, forests = shared.value
         for texts in batches:
             langs, scores = [], []
             for text in texts:
                 lang, score = UNKNOWN, 0.0
                 if names and text is not None and LETTER.search(text):
-                    total = lengths(text, table, bits, order, symbols)
+                    total = lengths(text, table, forests, order, SYMBOLS)
                     best = int(total.argmin())
                     lang, score = names[best], float(1 / np.exp2(np.clip(total[best] - total, -1000, 0)).sum())
                 langs.append(lang)

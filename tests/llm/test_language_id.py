@@ -91,3 +91,48 @@ def test_clashing_columns_stay(clashing):
     done = lid.identify(clashing, clashing.select("text", "lang"))
     assert set(clashing.columns) <= set(done.columns)
     assert sorted(r["row"] for r in done.collect()) == [2 * i for i in range(20)]
+
+
+@pytest.mark.parametrize("order", [0, 1, 2, 3])
+def test_trees_against_a_tree_walk(order):
+    training, symbols = {"x": ["abcab abd", "ab", "d"], "y": ["bcbcbc", "abe eeb"], "z": ["f"]}, 9
+    table = np.zeros(256, np.int64)
+    table[list(b"abcdef ")] = range(1, 8)
+    trees = []
+    for texts in training.values():
+        grams = np.concatenate([lid.contexts(table[lid.folded(t)], order, symbols) for t in texts])
+        trees.append(lid.Tree(*np.unique(grams, return_counts=True), order, symbols))
+    for text in ["abcab", "ab", "f", "eeb d", "bcbd"]:
+        # the walk's alphabet has one symbol less: the mark before the text is never coded
+        walked = [brute_length(text, texts, table, order, symbols - 1) for texts in training.values()]
+        assert lid.lengths(text, table, [lid.Forest(trees)], order, symbols) == pytest.approx(walked, rel=1e-5)
+        alone = [lid.Forest(trees[:2]), lid.Forest(trees[2:])]
+        assert lid.lengths(text, table, alone, order, symbols) == pytest.approx(walked, rel=1e-5)
+
+
+def test_hash_table_finds_what_it_holds():
+    random = np.random.default_rng(4)
+    keys = np.unique(random.integers(0, 1 << 33, 20_000))
+    held, values = keys[::2], random.random(len(keys[::2])).astype(np.float32)
+    found, value = lid.Lookup(held, values).get(keys)
+    assert found.tolist() == [i % 2 == 0 for i in range(len(keys))]
+    assert np.array_equal(value[::2], values) and not value[1::2].any()
+    assert not lid.Lookup(held[:0], values[:0]).get(keys)[0].any()
+
+
+def test_minority_scripts_keep_their_bytes(spark):
+    """Two languages in a script of their own, told apart by letters alone, beside a dominant Latin one."""
+    pick = np.random.default_rng(6)
+    latin = "abcdefghijklmnopqrstuvwxyz0!%*&$|.,-/'\"()"
+
+    def text(letters, words):
+        return " ".join("".join(pick.choice(list(letters), 4)) for _ in range(words))
+
+    letters = {"l1": latin, "m1": "აბგდევზთ", "m2": "იკლმნოპჟ"}
+    learn = [(text(letters["l1"], 60), "l1") for _ in range(200)]
+    learn += [(text(letters[lang], 12), lang) for lang in ("m1", "m2") for _ in range(6)]
+    docs = [(text(own, 6), lang) for lang, own in letters.items() for _ in range(10)]
+    learn, docs = (spark.createDataFrame(x, "text string, lang string") for x in (learn, docs))
+    found = lid.identify(docs, learn).collect()
+    assert [r.lang_pred for r in found] == [r.lang for r in found]
+    assert min(r.score for r in found) > 0.9
