@@ -64,6 +64,17 @@ def test_language_stage_keeps_clean_documents(spark):
     assert kept.where(F.length("text") >= 200).count() >= 0.99 * clean
 
 
+def test_language_stage_keeps_short_texts_of_every_language(spark):
+    """Names that all languages share tell nothing of the language, but are clean."""
+    langs = ["de", "en", "es", "fr"]
+    shared = ["anna", "otto", "nina", "a"]
+    rows = [(4 * i + k, word, lang) for i, word in enumerate(shared * 6) for k, lang in enumerate(langs)]
+    rows += [(200, "12 !", "en"), (201, None, "de"), (202, "", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.keep_known_languages(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in kept) == list(range(4 * len(shared) * 6))
+
+
 def test_empty_table(spark, empty_dir):
     assert corpus_pipeline.run(spark, empty_dir).count() == 0
 
