@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cargolens.llm import embedding_dedup, language_id, license_scan, line_dedup, merkle, neural_lm, packing, simhash, trie_bpe, warc
+from cargolens.llm import embedding_dedup, language_id, license_scan, line_dedup, merkle, mixing, neural_lm, packing, simhash, trie_bpe, warc
 
 QUERIES = {
     "op2_warc_derivatives": warc.op2_warc_derivatives,
@@ -15,10 +15,12 @@ QUERIES = {
     "op7_language_id": language_id.op7_language_id,
     "op5_packing": packing.op5_packing,
     "op6_line_dedup": line_dedup.op6_line_dedup,
+    "op13_mixing": mixing.op13_mixing,
 }
 ORACLES = {
     "op2_warc_derivatives": warc.OP2_SQL,
     "op9_embedding_dedup": embedding_dedup.OP9_SQL,
     "op1_license_scan": license_scan.OP1_SQL,
     "op6_line_dedup": line_dedup.OP6_SQL,
+    "op13_mixing": mixing.OP13_SQL,
 }
