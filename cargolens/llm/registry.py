@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cargolens.llm import embedding_dedup, language_id, license_scan, line_dedup, merkle, mixing, neural_lm, packing, simhash, trie_bpe, warc
+from cargolens.llm import embedding_dedup, language_id, license_scan, line_dedup, merkle, mixing, neural_lm, packing, ranked_search, simhash, trie_bpe, warc
 
 QUERIES = {
     "op2_warc_derivatives": warc.op2_warc_derivatives,
@@ -16,6 +16,7 @@ QUERIES = {
     "op5_packing": packing.op5_packing,
     "op6_line_dedup": line_dedup.op6_line_dedup,
     "op13_mixing": mixing.op13_mixing,
+    "op11_ranked_search": ranked_search.op11_ranked_search,
 }
 ORACLES = {
     "op2_warc_derivatives": warc.OP2_SQL,
@@ -23,4 +24,5 @@ ORACLES = {
     "op1_license_scan": license_scan.OP1_SQL,
     "op6_line_dedup": line_dedup.OP6_SQL,
     "op13_mixing": mixing.OP13_SQL,
+    "op11_ranked_search": ranked_search.OP11_SQL,
 }
