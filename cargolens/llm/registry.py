@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from cargolens.llm import embedding_dedup, language_id, license_scan, line_dedup, merkle, mixing, neural_lm, packing, ranked_search, simhash, trie_bpe, warc
+from cargolens.llm import (
+    alignment,
+    embedding_dedup,
+    language_id,
+    license_scan,
+    line_dedup,
+    merkle,
+    mixing,
+    neural_lm,
+    packing,
+    ranked_search,
+    simhash,
+    trie_bpe,
+    warc,
+)
 
 QUERIES = {
     "op2_warc_derivatives": warc.op2_warc_derivatives,
@@ -17,6 +31,7 @@ QUERIES = {
     "op6_line_dedup": line_dedup.op6_line_dedup,
     "op13_mixing": mixing.op13_mixing,
     "op11_ranked_search": ranked_search.op11_ranked_search,
+    "op12_alignment": alignment.op12_alignment,
 }
 ORACLES = {
     "op2_warc_derivatives": warc.OP2_SQL,
