@@ -25,9 +25,30 @@ def total(column: str | Column) -> Column:
     return F.coalesce(F.sum(column), F.lit(0))
 
 
-def mean(column: str) -> Column:
+#: Column of a stored aggregate (``streaming.rollups``): how many records a row stands for.
+RECORDS = "records_added_up"
+
+
+def set_count(column: str) -> str:
+    """Column of a stored aggregate: how many of a row's records set ``column``."""
+    return f"{column}_records"
+
+
+def records(df: DataFrame, column: str | None = None) -> Column:
+    """Number of records, or of those whose ``column`` is set; rows of a stored aggregate stand for many."""
+    if RECORDS not in df.columns:
+        return F.count(F.lit(1) if column is None else F.col(column))
+    return total(F.col(RECORDS) if column is None else F.when(F.col(column).isNotNull(), F.col(RECORDS)))
+
+
+def values_set(df: DataFrame, column: str) -> Column:
+    """Number of records that set a measure."""
+    return total(set_count(column)) if set_count(column) in df.columns else F.count(column)
+
+
+def mean(df: DataFrame, column: str) -> Column:
     """Mean of the set values, from the exact sum."""
-    return F.try_divide(F.sum(column).cast("double"), F.count(column).cast("double"))
+    return F.try_divide(F.sum(column).cast("double"), values_set(df, column).cast("double"))
 
 
 def column_totals(df: DataFrame, columns) -> Column:
@@ -59,8 +80,7 @@ def group_totals(
     keys = [keys] if isinstance(keys, str) else list(keys)
     outputs = [total(m).alias(m) for m in present(df, measures)]
     if count:
-        counted = F.col("month") if "month" in df.columns else F.lit(1)
-        outputs.append(F.count(counted).alias(count))
+        outputs.append(records(df, "month" if "month" in df.columns else None).alias(count))
     return keyed(df, *keys).groupBy(*keys).agg(*outputs)
 
 
@@ -93,10 +113,10 @@ def with_shares(df: DataFrame, columns, measures) -> DataFrame:
 def grand_totals(df: DataFrame, measures=MEASURES, means=("valuefob", "weight")) -> DataFrame:
     """One row: record count, sums and means."""
     return df.agg(
-        F.count(F.lit(1)).alias("total_records"),
+        records(df).alias("total_records"),
         *[total(m).cast("double").alias(f"total_{m}") for m in present(df, measures)],
         *[
-            mean(m).alias(f"mean_{m}")
+            mean(df, m).alias(f"mean_{m}")
             for m in present(df, means)
         ],
     )
@@ -122,12 +142,12 @@ def dimension_totals(df: DataFrame, dimensions, measures=("valuecif",)) -> DataF
     """
     dimensions = list(dimensions)
     measures = present(df, measures)
+    rows = df.select(*[F.col(d).cast("string").alias(d) for d in dimensions], *measures, *present(df, [RECORDS]))
     grouped = (
-        df.select(*[F.col(d).cast("string").alias(d) for d in dimensions], *measures)
-        .groupingSets([[d] for d in dimensions] + [[]], *dimensions)
+        rows.groupingSets([[d] for d in dimensions] + [[]], *dimensions)
         .agg(
             F.grouping_id().alias("_set"),
-            F.count(F.lit(1)).alias("record_count"),
+            records(rows).alias("record_count"),
             *[total(m).alias(m) for m in measures],
         )
     )

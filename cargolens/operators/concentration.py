@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import combined_class, combined_score, concentration_class, dependence_class
 from ..functions.classes import COMBINED_STEPS, CONCENTRATION_STEPS, DEPENDENCE_STEPS
-from .aggregates import column_totals, doubles, group_totals, keyed, total
+from .aggregates import column_totals, doubles, group_totals, keyed, records, total
 from .ranking import ranked_top_k, top_k
 from .running import with_running_share
 
@@ -86,8 +86,8 @@ def dependence(
     ``details`` the weight and the record count. Rows without an item count towards the total but form no item; they are dropped by a
     count so that the total and the items come from the same shuffle.
     """
-    counted = F.col("month") if "month" in df.columns else F.lit(1)
-    more = [total("weight").alias("weight"), F.count(counted).alias("record_count")]
+    counted = records(df, "month" if "month" in df.columns else None)
+    more = [total("weight").alias("weight"), counted.alias("record_count")]
     grouped = df.groupBy(item).agg(
         total(value).alias(value), *(more if details else []), F.count(item).alias("_keyed")
     )

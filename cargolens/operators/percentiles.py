@@ -119,7 +119,7 @@ def describe_table(df: DataFrame, columns, percents=QUARTILES) -> DataFrame:
 
     def of(column: str) -> list[Column]:
         v = F.col(column).cast("double")
-        return [F.count(v).cast("double"), mean(column), F.stddev_samp(v), F.min(v), F.max(v)]
+        return [F.count(v).cast("double"), mean(df, column), F.stddev_samp(v), F.min(v), F.max(v)]
 
     one = df.agg(*[F.struct(*[e.alias(n) for n, e in zip(moments, of(c))]).alias(c) for c in columns])
     entries = [

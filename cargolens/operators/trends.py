@@ -186,6 +186,6 @@ def seasonal_means(df: DataFrame, measures=MEASURES) -> DataFrame:
     from ..functions import month_label
     from .aggregates import mean
 
-    means = [mean(m).alias(m) for m in present(df, measures)]
+    means = [mean(df, m).alias(m) for m in present(df, measures)]
     grouped = keyed(df, "month_number").groupBy("month_number").agg(*means)
     return grouped.withColumn("month_name", month_label())

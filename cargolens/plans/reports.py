@@ -13,6 +13,7 @@ from ..operators.aggregates import (
     doubles,
     group_profile,
     group_totals,
+    records,
     total,
     with_shares,
 )
@@ -31,7 +32,7 @@ LEADER, PREMIUM, STANDARD = "Market Leader", "Premium Product", "Standard"
 def overview(df: DataFrame) -> DataFrame:
     """One row: record count, totals in display units and the year range."""
     return df.agg(
-        F.count(F.lit(1)).alias("total_records"),
+        records(df).alias("total_records"),
         (total("valuefob").cast("double") / 1e9).alias("fob_billions"),
         (total("valuecif").cast("double") / 1e9).alias("cif_billions"),
         (total("weight").cast("double") / 1e6).alias("weight_millions"),
@@ -110,7 +111,7 @@ def industry_sectors(df: DataFrame) -> DataFrame:
     """
     measures = ("valuefob", "valuecif", "weight")
     by_code = df.groupBy("commodity_code", "commodity_description").agg(
-        *[total(m).alias(m) for m in measures], F.count("commodity_description").alias("record_count")
+        *[total(m).alias(m) for m in measures], records(df, "commodity_description").alias("record_count")
     )
     pairs = (
         add_industry(by_code)

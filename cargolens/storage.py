@@ -50,8 +50,20 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: The JVM's path class for each gateway: looking it up by its name takes several calls.
+_PATHS: dict[int, object] = {}
+
+
+def _path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    if id(jvm) not in _PATHS:
+        _PATHS.clear()
+        _PATHS[id(jvm)] = jvm.org.apache.hadoop.fs.Path
+    return _PATHS[id(jvm)](path)
+
+
 def _file_system(spark: SparkSession, path: str):
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place = _path(spark, path)
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
@@ -70,3 +82,50 @@ def remove_path(spark: SparkSession, path: str) -> None:
 def clear_scratch(spark: SparkSession) -> None:
     """Delete all scratch tables of this application, once its results are stored elsewhere."""
     remove_path(spark, scratch_root(spark))
+
+
+def files_under(spark: SparkSession, path: str) -> dict[str, int]:
+    """Data files below a folder by their relative path, with their bytes; none if the folder is missing."""
+    files, place = _file_system(spark, path)
+    if not files.exists(place):
+        return {}
+    found, root = {}, files.resolvePath(place).toUri().getPath().rstrip("/") + "/"
+    entries = files.listFiles(place, True)
+    while entries.hasNext():
+        entry = entries.next()
+        name = entry.getPath().toUri().getPath().removeprefix(root)
+        if not any(part.startswith(("_", ".")) for part in name.split("/")):
+            found[name] = entry.getLen()
+    return found
+
+
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Move one file, replacing what lies at the target; both paths belong to one file system."""
+    files, place = _file_system(spark, source)
+    there = _path(spark, target)
+    if files.exists(there):
+        files.delete(there, False)
+    elif not files.exists(there.getParent()):
+        files.mkdirs(there.getParent())
+    if not files.rename(place, there):
+        raise OSError(f"can't move {source} to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there with its whole content or not at all."""
+    files, place = _file_system(spark, f"{path}.part")
+    stream = files.create(place, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    move_file(spark, f"{path}.part", path)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Content of a small file; None if it is missing."""
+    files, place = _file_system(spark, path)
+    if not files.exists(place):
+        return None
+    stream = files.open(place)
+    text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return text

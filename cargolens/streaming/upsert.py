@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from ..operators.ranking import top_in_group
 from ..schema import GRAIN, PARTITION_COLUMNS
-from ..storage import path_exists, remove_path, scratch_path
+from ..storage import files_under, path_exists
+from .journal import decide, finish, recover, stage, staging_of
+from .rollups import FOLDERS, cuboids, renewed, rollups_of
+
 
 def append_tables(*frames: DataFrame) -> DataFrame:
     """Rows of all frames; columns a frame lacks are null."""
@@ -62,46 +65,55 @@ def rows_of_months(stored: DataFrame, months: DataFrame) -> DataFrame:
     return plain.unionByName(odd)
 
 
-def upsert(
+def upsert(spark: SparkSession, store: str, batch: DataFrame, keys=GRAIN, **options) -> None:
+    """Merge a cleaned batch into the store: ``prepare``, then move in what it staged."""
+    prepare(spark, store, batch, keys, **options)
+    finish(spark, store)
+
+
+def prepare(
     spark: SparkSession,
     store: str,
     batch: DataFrame,
     keys=GRAIN,
-    staging: str | None = None,
     whole: bool = False,
     rebuild: bool = False,
+    rollups: bool = False,
 ) -> None:
-    """Merge a cleaned batch into the store, rewriting only the months it touches.
+    """Stage the months that a cleaned batch touches, merged with the store, and decide that they replace the old ones.
 
     With ``whole`` the months that hold a key twice are rewritten too, so the whole store is unique by key afterwards;
-    that reads the key columns of all months. ``rebuild`` replaces the store by the batch.
+    that reads the key columns of all months. ``rebuild`` replaces the store by the batch. ``rollups`` makes the stored
+    aggregates of ``plans.rollups`` beside the store; once they are there, every upsert renews those of its months.
 
-    What is to be written lies in ``staging`` in the shared folder first and is then swapped in folder by folder. When
-    the job dies during the swap, running it again with the same ``staging`` repeats only the swap. The folder is
-    removed at the end.
+    The new months, and their aggregates, lie beside the store until ``journal.finish`` moves them in. A call first
+    finishes what a died call had decided, so nothing but another call is needed after a crash.
     """
-    staging = staging or scratch_path(spark, "upsert")
-    if not path_exists(spark, f"{staging}/merged/_SUCCESS"):
-        batch.write.mode("overwrite").parquet(f"{staging}/batch")
-        batch = spark.read.schema(batch.schema).parquet(f"{staging}/batch")
-        if rebuild or not path_exists(spark, store):
-            rows = merged(None, batch, keys)
-        else:
-            held = spark.read.parquet(store)
-            months = touched_months(batch)
-            if whole:
-                months = months.union(repeated_months(held, keys)).distinct()
-            rows = merged(rows_of_months(held, months), batch, keys)
-        rows.write.mode("overwrite").parquet(f"{staging}/merged")
-    rows = spark.read.parquet(f"{staging}/merged")
-    (
-        rows.hint("rebalance", *PARTITION_COLUMNS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if rebuild else "dynamic")
-        .partitionBy(*PARTITION_COLUMNS)
-        .parquet(store)
-    )
-    remove_path(spark, staging)
+    recover(spark, store)
+    held = spark.read.parquet(store) if files_under(spark, store) else None
+    if rebuild or held is None:
+        rows = merged(None, batch, keys)
+    else:
+        path = f"{staging_of(store)}/batch"
+        batch.write.mode("overwrite").parquet(path)
+        batch = spark.read.schema(batch.schema).parquet(path)
+        months = touched_months(batch)
+        if whole:
+            months = months.union(repeated_months(held, keys)).distinct()
+        rows = merged(rows_of_months(held, months), batch, keys)
+    replaced = spark.read.schema(rows.schema).parquet(stage(rows, store, "months"))
+    tables = {"months": ""}
+    kept = path_exists(spark, rollups_of(store))
+    if kept or rollups:
+        months, add = touched_months(replaced), kept and not rebuild
+        # aggregates that are not there yet need the months that stay as they are, too
+        if held is not None and not (kept or rebuild):
+            replaced = append_tables(rows_of_months(held, touched_months(held).exceptAll(months)), replaced)
+        for name, rows in cuboids(replaced, f"{staging_of(store)}/cuboids"):
+            rows = renewed(rows, spark, rollups_of(store), name, months) if add else rows
+            stage(rows, store, f"rollups/{name}", FOLDERS)
+            tables[f"rollups/{name}"] = f"{rollups_of('')}/{name}"
+    decide(spark, store, tables, rebuild)
 
 
 def upsert_stream(
@@ -114,6 +126,8 @@ def upsert_stream(
     keys=GRAIN,
     files_per_batch: int | None = None,
     file_format: str = "parquet",
+    rollups: bool = False,
+    after=None,
     **options,
 ):
     """Upsert every file not seen before and stop; the checkpoint records seen files.
@@ -121,7 +135,8 @@ def upsert_stream(
     ``options`` belong to the file format. CSV arrivals are read by a header, which must name the columns of
     ``schema`` in their order; a file with another header fails instead of being read under wrong names.
     ``clean`` runs before the merge, so stored and new rows have the same columns. A
-    batch that is repeated after a failure reuses its own staging folder.
+    batch that is repeated after a failure finds its decided months moved in, or its undecided ones dropped, and is
+    merged again, which changes nothing. ``after`` is called with the session when a batch is in the store.
     """
     if file_format == "csv":
         options = {"header": True, "enforceSchema": False, **options}
@@ -131,7 +146,9 @@ def upsert_stream(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         rows = clean(batch) if clean else batch
-        upsert(batch.sparkSession, store, rows, keys, f"{checkpoint}/staging/{batch_id}")
+        upsert(batch.sparkSession, store, rows, keys, rollups=rollups)
+        if after:
+            after(batch.sparkSession)
 
     return (
         reader.load(incoming)
