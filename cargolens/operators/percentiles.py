@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from . import sketches
 from .aggregates import mean
 
 QUARTILES = (25, 50, 75)
@@ -37,18 +38,26 @@ def bucket_of(value: Column) -> Column:
     )
 
 
-def group_points(df: DataFrame, groups, value: str, percents) -> DataFrame:
+def group_points(
+    df: DataFrame, groups, value: str, percents, times: str | None = None, exact: bool = True
+) -> DataFrame:
     """``(groups, percentile, value)``: percentiles of the non-null values of each group; null groups form none.
 
-    A window of the first pass holds one group's buckets, one of the second the distinct values of one bucket: neither
+    ``times`` names a column that tells how many records a row stands for. With ``exact=False`` a value comes from a
+    sketch of the group, from one pass; its rank is off by ``sketches.rank_error`` of the rows. A window of the first pass holds one group's buckets, one of the second the distinct values of one bucket: neither
     grows with the rows of a group.
     """
     groups, percents = list(groups), sorted(percents)
+    if not exact:
+        if times:
+            raise ValueError("sketches take records, not counted values")
+        return sketches.points(sketches.sketched(df, [value], groups), value, percents, groups)
     v = F.col(value).cast("double")
-    data = df.select(*groups, v.alias("_v")).dropna(subset=[*groups, "_v"])
-    data = data.withColumn("_bucket", bucket_of(F.col("_v")))
+    data = df.select(*groups, v.alias("_v"), *([F.col(times).alias("_times")] if times else []))
+    data = data.dropna(subset=[*groups, "_v"]).withColumn("_bucket", bucket_of(F.col("_v")))
+    rows = F.sum("_times") if times else F.count(F.lit(1))
 
-    buckets = data.groupBy(*groups, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    buckets = data.groupBy(*groups, "_bucket").agg(rows.alias("_n"))
     inside = W.partitionBy(*groups)
     buckets = buckets.withColumns(
         {
@@ -75,9 +84,9 @@ def group_points(df: DataFrame, groups, value: str, percents) -> DataFrame:
     if not groups:  # then there are at most two buckets for each percentile
         chosen = F.broadcast(chosen)
 
-    values = data.join(chosen.select(*groups, "_bucket"), [*groups, "_bucket"], "left_semi")
-    values = values.groupBy(*groups, "_bucket", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    values = values.join(chosen, [*groups, "_bucket"])
+    # a bucket is chosen once, so one join both picks its rows and tells the ranks wanted there
+    values = data.join(chosen, [*groups, "_bucket"]).groupBy(*groups, "_bucket", "_v")
+    values = values.agg(rows.alias("_n"), F.any_value("_from").alias("_from"), F.any_value("_wants").alias("_wants"))
     order = W.partitionBy(*groups, "_bucket").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
     values = values.withColumn("_upto", F.col("_from") + F.sum("_n").over(order))
     found = values.select(*groups, "_v", F.inline(F.filter("_wants", here)))
@@ -91,25 +100,25 @@ def group_points(df: DataFrame, groups, value: str, percents) -> DataFrame:
     return found.select(*groups, F.col("percent").alias("percentile"), point.alias("value"))
 
 
-def percentile_points(df: DataFrame, value: str, percents) -> DataFrame:
+def percentile_points(df: DataFrame, value: str, percents, exact: bool = True) -> DataFrame:
     """One row per percentile: ``(percentile, value)``; null values without rows."""
     spark = df.sparkSession
     every = spark.createDataFrame([(int(p), float(p)) for p in sorted(percents)], "percentile int, _p double")
-    points = group_points(df, [], value, percents).withColumnRenamed("percentile", "_p")
+    points = group_points(df, [], value, percents, exact=exact).withColumnRenamed("percentile", "_p")
     return every.join(F.broadcast(points), "_p", "left").select("percentile", "value")
 
 
-def group_medians(df: DataFrame, group: str, value: str, out: str = "median") -> DataFrame:
-    """Exact median of each group, however large one group is."""
-    return group_points(df, [group], value, [50]).select(group, F.col("value").alias(out))
+def group_medians(df: DataFrame, group: str, value: str, out: str = "median", exact: bool = True) -> DataFrame:
+    """Median of each group, however large one group is."""
+    return group_points(df, [group], value, [50], exact=exact).select(group, F.col("value").alias(out))
 
 
-def describe(df: DataFrame, value: str, percents=QUARTILES) -> DataFrame:
+def describe(df: DataFrame, value: str, percents=QUARTILES, exact: bool = True) -> DataFrame:
     """Rows ``(statistic, value)``: count, mean, std, min, max and the percentiles."""
-    return describe_table(df, [value], percents).select("statistic", "value")
+    return describe_table(df, [value], percents, exact).select("statistic", "value")
 
 
-def describe_table(df: DataFrame, columns, percents=QUARTILES) -> DataFrame:
+def describe_table(df: DataFrame, columns, percents=QUARTILES, exact: bool = True) -> DataFrame:
     """Describe rows of several columns: ``(column_name, statistic, value)``.
 
     The columns are stacked, so both percentile passes and the moments each read the table once for all of them.
@@ -132,7 +141,7 @@ def describe_table(df: DataFrame, columns, percents=QUARTILES) -> DataFrame:
             F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("_value")) for c in columns])
         )
     )
-    points = group_points(stacked, ["column_name"], "_value", percents)
+    points = group_points(stacked, ["column_name"], "_value", percents, exact=exact)
     names = df.sparkSession.createDataFrame(
         [(c, float(p), f"p{int(p):02d}") for c in columns for p in sorted(percents)],
         "column_name string, percentile double, statistic string",

@@ -127,8 +127,8 @@ def weight_distribution(df: DataFrame, column: str = "weight") -> DataFrame:
     return found.select("*", median.alias("median_weight")).withColumns({f"{name}_pct": _share(F.col(name), F.col("total_rows")) for name in limits})
 
 
-def unit_quantities(df: DataFrame, unit: str = "unit_quantity", quantity: str = "quantity"):
-    """Count, min, max, mean and exact median of the quantity of each unit."""
+def unit_quantities(df: DataFrame, unit: str = "unit_quantity", quantity: str = "quantity", exact: bool = True):
+    """Count, min, max, mean and median of the quantity of each unit; ``exact=False`` takes medians from sketches."""
     data = df.where(F.col(unit).isNotNull()).select(unit, to_number(quantity).alias("q"))
     grouped = data.groupBy(unit).agg(
         F.count(F.lit(1)).alias("record_count"),
@@ -136,7 +136,7 @@ def unit_quantities(df: DataFrame, unit: str = "unit_quantity", quantity: str =
         F.max("q").alias("max_quantity"),
         F.avg("q").alias("mean_quantity"),
     )
-    return grouped.join(group_medians(data, unit, "q", "median_quantity"), unit, "left")
+    return grouped.join(group_medians(data, unit, "q", "median_quantity", exact), unit, "left")
 
 
 def _fractional(quantity: Column) -> Column:

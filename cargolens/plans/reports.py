@@ -203,10 +203,10 @@ def fob_cif_gap(df: DataFrame) -> DataFrame:
     )
 
 
-def distribution(df: DataFrame, column: str, percents=PERCENTS) -> DataFrame:
-    """Describe table and percentiles of the positive values of a column."""
+def distribution(df: DataFrame, column: str, percents=PERCENTS, exact: bool = True) -> DataFrame:
+    """Describe table and percentiles of the positive values of a column; ``exact=False`` takes these from sketches."""
     wanted = sorted(set(percents) | set(QUARTILES))
-    return describe(df.where(F.col(column) > 0), column, wanted)
+    return describe(df.where(F.col(column) > 0), column, wanted, exact)
 
 
 def share_of_top(df: DataFrame, key: str, sizes=(5, 10, 20)) -> DataFrame:

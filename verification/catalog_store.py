@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cargolens.operators import aggregates, clean, concentration, matrix, trends
+from cargolens.operators import aggregates, clean, concentration, matrix, profile, quality, sampling, sketches, trends
 from cargolens.plans import refresh, reports
-from cargolens.schema import GRAIN
-from cargolens.storage import path_exists, remove_path, scratch_path
+from cargolens.schema import GRAIN, RAW_COLUMNS, TEXT_COLUMNS
+from cargolens.storage import path_exists, remove_path, scratch_path, stored
 from cargolens.streaming import rollups, totals, upsert
 
 from .catalog import CONC_DIGITS, COUNTRY, COVERS, ITEM, IV_DIGITS, ORACLES, QUERIES, SUPPLIER_DIGITS, longs, query, rounded
 from .catalog_tables import _batch, _drops, _merged_sql, _refreshed_sql, _store_months, raw
-from .imports_view import CLEAN_SQL, imports_fact
+from .imports_view import CLEAN_SQL, RAW_SQL, imports_fact, number_sql
 
 # ---------------------------------------------------------------- crashes and restated records
 
@@ -164,3 +164,128 @@ def _suppliers(df):
 @from_rollups("port_concentration", "ausport_description", COUNTRY)
 def _ports(df):
     return rounded(matrix.port_concentration(df), total_value=2)
+
+
+# ---------------------------------------------------------------- quality from one scan
+
+_NUMBERS = ("weight", "valuefob", "valuecif", "quantity")
+
+
+def _quality_sql() -> str:
+    parts = ["SELECT 'shape' AS profile, NULL AS subject, NULL AS member, 'total_rows' AS metric, count(*)::DOUBLE AS value FROM raw"]
+    parts.append(f"SELECT 'shape', 'string', NULL, 'column_count', {len(RAW_COLUMNS)}::DOUBLE")
+    parts += [f"SELECT 'missing', '{c}', NULL, 'missing_count', count(*) - count({c}) FROM raw HAVING count(*) > count({c})" for c in RAW_COLUMNS]
+    for c in _NUMBERS:
+        numbers = f"FROM (SELECT {number_sql(c)} AS n FROM raw)"
+        parts += [
+            f"SELECT 'numeric', '{c}', NULL, 'missing_count', count(*) - count(n) {numbers}",
+            f"SELECT 'numeric', '{c}', NULL, 'negative_count', count(*) FILTER (n < 0) {numbers}",
+            f"SELECT 'numeric', '{c}', NULL, 'min_value', min(greatest(coalesce(n, 0), 0)) {numbers}",
+            f"SELECT 'numeric', '{c}', NULL, 'max_value', max(greatest(coalesce(n, 0), 0)) {numbers}",
+            f"SELECT 'numeric', '{c}', NULL, 'mean_value', round(avg(greatest(coalesce(n, 0), 0)), 3) {numbers}",
+        ]
+    weights = f"FROM (SELECT {number_sql('weight')} AS n FROM raw)"
+    measures = {"min_weight": "min(n)", "max_weight": "max(n)", "mean_weight": "round(avg(n), 3)", "median_weight": "round(median(n), 3)"}
+    measures |= {"below_1": "count(*) FILTER (n < 1)", "below_0_1": "count(*) FILTER (n < 0.1)"}
+    measures |= {"below_0_001": "count(*) FILTER (n < 0.001)", "above_1000": "count(*) FILTER (n > 1000)"}
+    parts += [f"SELECT 'weights', 'weight', NULL, '{k}', {v} {weights}" for k, v in measures.items()]
+    quantities = f"FROM (SELECT unit_quantity, {number_sql('quantity')} AS n FROM raw)"
+    parts.append(f"SELECT 'non_positive', 'quantity', NULL, 'non_positive_rows', count(*) FILTER (n <= 0) {quantities}")
+    measures = {"record_count": "count(*)", "min_quantity": "min(n)", "max_quantity": "max(n)"}
+    measures |= {"mean_quantity": "round(avg(n), 3)", "median_quantity": "round(median(n), 3)"}
+    own = f"{quantities} WHERE unit_quantity IS NOT NULL"
+    parts += [f"SELECT 'units', 'unit_quantity', unit_quantity, '{k}', {v} {own} GROUP BY 3" for k, v in measures.items()]
+    parts.append(
+        f"SELECT 'fractions', 'unit_quantity', unit_quantity, 'fractional_count', count(*) FILTER (n % 1 <> 0) {quantities} "
+        "WHERE unit_quantity ILIKE '%number%' GROUP BY 3"
+    )
+    parts.append(
+        "SELECT 'variants', base, unit_quantity, 'spellings', n FROM (SELECT *, count(*) OVER (PARTITION BY base) AS n FROM "
+        "(SELECT DISTINCT unit_quantity, trim(lower(unit_quantity)) AS base FROM raw WHERE unit_quantity IS NOT NULL)) WHERE n > 1"
+    )
+    parts.append(
+        f"SELECT 'duplicates', NULL, NULL, 'duplicate_rows', sum(n - 1) FROM (SELECT count(*) AS n FROM raw GROUP BY {', '.join(RAW_COLUMNS)})"
+    )
+    for c in TEXT_COLUMNS:
+        parts.append(f"SELECT 'cardinality', '{c}', NULL, 'distinct_values', count(DISTINCT {c}) FROM raw")
+        parts.append(f"SELECT 'values', '{c}', {c}, 'row_count', count(*) FROM raw WHERE {c} IS NOT NULL GROUP BY 3")
+    return " " + " UNION ALL ".join(parts)
+
+
+@query("R2 A29 A30 A31 A32 A33 A34 A35 A36 A37 A38 A46", _quality_sql(), RAW_SQL)
+def quality_profile(spark, sf_dir):
+    """All quality numbers of the raw records, from one scan of them."""
+    found = profile.quality_profile(raw(spark, sf_dir)).table()
+    inexact = F.col("metric").startswith("mean") | F.col("metric").startswith("median")
+    return found.withColumn("value", F.when(inexact, F.round("value", 3)).otherwise(F.col("value")))
+
+
+# ---------------------------------------------------------------- estimates, on request
+
+_PERCENTS = (1, 10, 25, 50, 75, 90, 99)
+_SKETCHED = ("valuecif", "weight")
+
+
+@query(
+    "A26 A27",
+    " "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {p}::DOUBLE AS percentile, count({c}) AS row_count, TRUE AS within_bound FROM imports"
+        for c in _SKETCHED
+        for p in _PERCENTS
+    ),
+)
+def sketch_accuracy(spark, sf_dir):
+    """Percentiles from merged monthly sketches: the exact rank of each value is within the stated bound of the percentile."""
+    df = imports_fact(spark, sf_dir, "year", "month_number", *_SKETCHED)
+    monthly = stored(sketches.sketched(df, _SKETCHED), "sketches")
+    parts = []
+    for c in _SKETCHED:
+        points = sketches.points(sketches.merged(monthly, _SKETCHED), c, _PERCENTS)
+        ranks = sketches.rank_range(df, c, points)
+        rank, bound = F.col("percentile") / 100, sketches.rank_error()
+        off = F.greatest(F.col("below") - rank, rank - F.col("upto"), F.lit(0.0))
+        parts.append(ranks.select(F.lit(c).alias("column_name"), "percentile", "row_count", (off <= bound).alias("within_bound")))
+    return upsert.append_tables(*parts)
+
+
+@query(
+    "A33",
+    " "
+    + " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS distinct_values, TRUE AS within_bound FROM imports" for c in (COUNTRY, ITEM)),
+)
+def distinct_accuracy(spark, sf_dir):
+    """Numbers of different values from merged monthly sketches, held against the exact ones."""
+    df = imports_fact(spark, sf_dir, "year", "month_number", COUNTRY, ITEM)
+    whole = sketches.merged(stored(sketches.sketched(df, [], texts=(COUNTRY, ITEM)), "sketches"), [], texts=(COUNTRY, ITEM))
+    estimates = whole.select(*[sketches.distinct(whole, c).alias(c) for c in (COUNTRY, ITEM)])
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("estimate")) for c in (COUNTRY, ITEM)]
+    exact = quality.cardinality_profile(df, (COUNTRY, ITEM))
+    off = F.abs(F.col("estimate") - F.col("distinct_values")) <= sketches.distinct_error() * F.col("distinct_values")
+    return exact.join(estimates.select(F.inline(F.array(*pairs))), "column_name").select("column_name", "distinct_values", off.alias("within_bound"))
+
+
+_KEY = ", ".join(sampling.KEYS)
+
+
+@query(
+    "A44",
+    f""", chosen AS (SELECT * FROM imports WHERE ('0x' || substr(md5(concat_ws('|', '0', {_KEY})), 1, 8))::BIGINT < 429496729),
+    each AS (SELECT state, {_KEY}, count(*)::DOUBLE AS n, sum(valuecif)::DOUBLE AS v FROM chosen GROUP BY ALL),
+    sums AS (SELECT state, sum(n)::BIGINT AS sampled_records, count(*) AS sampled_keys, sum(n) AS n, sum(v) AS v,
+      sqrt(sum(n * n) * (1 - 0.1::DOUBLE) / 0.1::DOUBLE ** 2) AS en, sqrt(sum(v * v) * (1 - 0.1::DOUBLE) / 0.1::DOUBLE ** 2) AS ev FROM each GROUP BY 1)
+    SELECT state, sampled_records, sampled_keys, round(n / 0.1::DOUBLE, 3) AS records_estimate, round(n / 0.1::DOUBLE - 3.29 * en, 3) AS records_low,
+      round(n / 0.1::DOUBLE + 3.29 * en, 3) AS records_high, round(v / 0.1::DOUBLE, 2) AS valuecif_estimate,
+      round(v / 0.1::DOUBLE - 3.29 * ev, 0) AS valuecif_low, round(v / 0.1::DOUBLE + 3.29 * ev, 0) AS valuecif_high,
+      (SELECT sum(valuecif)::DOUBLE FROM imports i WHERE i.state = sums.state) BETWEEN valuecif_low AND valuecif_high AS holds_exact
+    FROM sums""",
+)
+def sampled_totals(spark, sf_dir):
+    """States estimated from a tenth of the keys, and whether the exact value lies inside the bounds."""
+    df = imports_fact(spark, sf_dir, "state", "valuecif", *sampling.KEYS)
+    found = sampling.sampled_totals(df, 0.1, ("state",))
+    digits = {f"{n}_{p}": d for n, d in (("records", 3), ("valuecif", 0)) for p in ("estimate", "low", "high")}
+    digits["valuecif_estimate"] = 2
+    exact = aggregates.doubles(aggregates.group_totals(df, "state", ["valuecif"], None))
+    both = rounded(found, **digits).join(exact, "state")
+    return both.withColumn("holds_exact", F.col("valuecif").between(F.col("valuecif_low"), F.col("valuecif_high"))).drop("valuecif")
