@@ -164,6 +164,20 @@ def newest_month(df: DataFrame) -> Column:
     return df.agg(F.max(F.make_date("year", "month_number", F.lit(1))).alias("d")).scalar()
 
 
+def stored_months(spark: SparkSession, store: str) -> DataFrame:
+    """The months a store holds, ``(year, month_number)``, from the names of its folders: no file is read."""
+    found = set()
+    for folder in {name.rpartition("/")[0] for name in files_under(spark, store)}:
+        values = dict(part.split("=", 1) for part in folder.split("/"))
+        found.add(tuple(None if values[c] == "__HIVE_DEFAULT_PARTITION__" else int(values[c]) for c in PARTITION_COLUMNS))
+    return spark.createDataFrame(sorted(found, key=str), "year int, month_number int")
+
+
+def store_freshness(spark: SparkSession, store: str, offered: str) -> DataFrame:
+    """``freshness`` of one store against another, from their folders' names."""
+    return freshness(stored_months(spark, store), stored_months(spark, offered))
+
+
 def freshness(stored: DataFrame, offered: DataFrame) -> DataFrame:
     """One row: newest month held and offered, and whether there is anything newer."""
     latest = F.make_date("year", "month_number", F.lit(1))
@@ -178,7 +192,7 @@ def freshness(stored: DataFrame, offered: DataFrame) -> DataFrame:
 
 
 def completeness(df: DataFrame, floor: int = 3_000_000) -> DataFrame:
-    """One row: rows held and whether they reach the expected floor."""
+    """One row: rows held and whether they reach the expected floor. Of a Parquet store only the files' footers are read."""
     return df.agg(F.count(F.lit(1)).alias("total_rows")).withColumn(
         "is_complete", F.col("total_rows") >= floor
     )

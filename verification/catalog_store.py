@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from cargolens.operators import aggregates, clean, concentration, matrix, profile, quality, sampling, sketches, trends
 from cargolens.plans import refresh, reports
 from cargolens.schema import GRAIN, RAW_COLUMNS, TEXT_COLUMNS
+from cargolens.sources import pages, scan, sinks
 from cargolens.storage import path_exists, remove_path, scratch_path, stored
 from cargolens.streaming import rollups, totals, upsert
 
 from .catalog import CONC_DIGITS, COUNTRY, COVERS, ITEM, IV_DIGITS, ORACLES, QUERIES, SUPPLIER_DIGITS, longs, query, rounded
 from .catalog_tables import _batch, _drops, _merged_sql, _refreshed_sql, _store_months, raw
-from .imports_view import CLEAN_SQL, RAW_SQL, imports_fact, number_sql
+from .imports_view import CLEAN_SQL, FACT_COLUMNS, RAW_SQL, imports_fact, number_sql
 
 # ---------------------------------------------------------------- crashes and restated records
 
@@ -289,3 +290,43 @@ def sampled_totals(spark, sf_dir):
     exact = aggregates.doubles(aggregates.group_totals(df, "state", ["valuecif"], None))
     both = rounded(found, **digits).join(exact, "state")
     return both.withColumn("holds_exact", F.col("valuecif").between(F.col("valuecif_low"), F.col("valuecif_high"))).drop("valuecif")
+
+
+# ---------------------------------------------------------------- pages from a stored order, answers from file names and footers
+
+_EVERY_KEY = (*scan.PAGE_KEYS, *[c for c in FACT_COLUMNS if c not in scan.PAGE_KEYS])
+
+
+@query(
+    "S5",
+    f""", numbered AS (SELECT *, row_number() OVER (ORDER BY {', '.join(_EVERY_KEY)}) AS row_number FROM imports)
+    SELECT * FROM numbered WHERE row_number BETWEEN 201 AND 300 OR row_number BETWEEN 40001 AND 40100 OR row_number > 59950""",
+)
+def indexed_pages(spark, sf_dir):
+    """A page near the start, one far behind and the last rows, each from the blocks it lies in."""
+    index = pages.build_page_index(imports_fact(spark, sf_dir), scratch_path(spark, "pages"), _EVERY_KEY)
+    end = index.rows_between(spark, 59_951, max(59_951, index.row_count(spark)))
+    return upsert.append_tables(index.page(spark, 100, 3), index.page(spark, 100, 401), end)
+
+
+@query(
+    "I3",
+    """ SELECT max(make_date(year, month_number, 1)) AS newest_offered,
+    (SELECT max(make_date(year, month_number, 1)) FROM imports WHERE year < 2025) AS newest_held,
+    max(make_date(year, month_number, 1)) >
+      (SELECT max(make_date(year, month_number, 1)) FROM imports WHERE year < 2025) AS has_new_data FROM imports""",
+)
+def store_freshness(spark, sf_dir):
+    """The newest months of two stores by their folders' names."""
+    df, root = imports_fact(spark, sf_dir), scratch_path(spark, "stores")
+    sinks.write_cleaned(df.where("year < 2025"), f"{root}/held")
+    sinks.write_cleaned(df, f"{root}/offered")
+    return upsert.store_freshness(spark, f"{root}/held", f"{root}/offered")
+
+
+@query("I4", " SELECT count(*) AS total_rows, count(*) >= 50000 AS is_complete FROM imports")
+def store_completeness(spark, sf_dir):
+    """Rows of a store by its files' footers."""
+    store = scratch_path(spark, "store")
+    sinks.write_cleaned(imports_fact(spark, sf_dir), store)
+    return upsert.completeness(spark.read.parquet(store), 50_000)

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from cargolens import schema
 from cargolens.operators import clean, percentiles, quality
 from cargolens.plans import refresh, reports
-from cargolens.sources import scan, sinks
-from cargolens.storage import scratch_path, stored
+from cargolens.sources import pages, scan, sinks
+from cargolens.storage import scratch_path
 from cargolens.streaming import totals, upsert
 
 from .catalog import COUNTRY, ITEM, MEASURES, SUMMARY_COLUMNS, longs, query, rounded
@@ -392,22 +392,15 @@ _WALK_KEYS = ("year", "month_number", "country_description", "commodity_code", "
     CLEAN_SQL,
 )
 def walked_pages(spark, sf_dir):
-    """The records page by page, each found by the last row of the one before: null keys, ties, every row once."""
+    """The records page by page from a stored order: null keys, ties, every row once, no limit."""
     columns = [c for c in _WALK_KEYS if c != "copy"]
     df = clean.clean_columns(imports_raw(spark, sf_dir, "month", "country_description", "commodity_code", "unit_quantity"))
     df = df.withColumn("country_description", F.nullif("country_description", F.lit("Unknown"))).select(*columns)
     copies = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
-    df = stored(copies.select(*columns, F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("copy")), "walk")
-    size = df.count() // 4 + 1
-    pages, last = [], None
-    while True:
-        page = scan.page_after(df, last, size, _WALK_KEYS)
-        pages.append(page)
-        order = [F.desc_nulls_last(k) for k in _WALK_KEYS]
-        end = page.orderBy(*order).first()
-        if len(pages) == 4 or end is None:
-            return upsert.append_tables(*pages)
-        last = tuple(end)
+    df = copies.select(*columns, F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("copy"))
+    index = pages.build_page_index(df, scratch_path(spark, "pages"), _WALK_KEYS)
+    size = index.row_count(spark) // 4 + 1
+    return upsert.append_tables(*[index.page(spark, size, number).drop("row_number") for number in range(1, 5)])
 
 
 _STORED = ", ".join(f"CAST({c} AS DECIMAL(20,2)) AS {c}" if c in schema.AMOUNTS else c for c in schema.IMPORTS_SCHEMA.names)
