@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cargolens.operators import aggregates, clean, concentration, matrix, profile, quality, sampling, sketches, trends
+from cargolens.operators import aggregates, clean, concentration, duplicates, matrix, profile, quality, sampling, sketches, trends
 from cargolens.plans import refresh, reports
 from cargolens.schema import GRAIN, RAW_COLUMNS, TEXT_COLUMNS
 from cargolens.sources import pages, scan, sinks
@@ -330,3 +330,26 @@ def store_completeness(spark, sf_dir):
     store = scratch_path(spark, "store")
     sinks.write_cleaned(imports_fact(spark, sf_dir), store)
     return upsert.completeness(spark.read.parquet(store), 50_000)
+
+
+# ---------------------------------------------------------------- equal rows of stored tables
+
+
+def _stored_raw(spark, sf_dir):
+    return stored(raw(spark, sf_dir), "raw")
+
+
+@query("U3", " SELECT DISTINCT * FROM raw", RAW_SQL)
+def distinct_stored_rows(spark, sf_dir):
+    return duplicates.distinct_stored(_stored_raw(spark, sf_dir))
+
+
+@query(
+    "R2 A31",
+    f""", d AS (SELECT count(*) AS n FROM raw GROUP BY {', '.join(RAW_COLUMNS)})
+    SELECT sum(n)::BIGINT AS total_rows, sum(n - 1)::BIGINT AS duplicate_rows,
+      round(sum(n - 1)::DOUBLE / sum(n)::DOUBLE * 100, 6) AS duplicate_pct FROM d""",
+    RAW_SQL,
+)
+def stored_duplicates(spark, sf_dir):
+    return rounded(duplicates.duplicates_stored(_stored_raw(spark, sf_dir)), duplicate_pct=6)
