@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ..functions import to_number
 from ..functions.text import strip
 from ..schema import MEASURES, TEXT_COLUMNS, present
-from .percentiles import group_medians, percentile_points
+from ..storage import stored
+from . import sketches
+from .percentiles import group_points, percentile_points
 from .ranking import top_in_group, top_k
 
 
@@ -128,15 +130,29 @@ def weight_distribution(df: DataFrame, column: str = "weight") -> DataFrame:
 
 
 def unit_quantities(df: DataFrame, unit: str = "unit_quantity", quantity: str = "quantity", exact: bool = True):
-    """Count, min, max, mean and median of the quantity of each unit; ``exact=False`` takes medians from sketches."""
+    """Count, min, max, mean and median of the quantity of each unit; ``exact=False`` takes medians from sketches.
+
+    The exact form counts the different quantities of each unit when it is called.
+    """
     data = df.where(F.col(unit).isNotNull()).select(unit, to_number(quantity).alias("q"))
+    if not exact:
+        sketch = sketches.sketched(data, ["q"], [unit])
+        medians = sketches.points(sketch, "q", [50], [unit])
+        n, sums = F.lit(1), {"mean_quantity": F.avg("q")}
+    else:
+        # read once: each quantity of a unit with its number of records, from which all else follows
+        data = stored(data.groupBy(unit, "q").agg(F.count(F.lit(1)).alias("n")), "unit-quantities")
+        medians = group_points(data, [unit], "q", [50], "n")
+        n = F.col("n")
+        known = F.sum(F.when(F.col("q").isNotNull(), n))
+        sums = {"mean_quantity": F.try_divide(F.sum(F.col("q") * n), known)}
     grouped = data.groupBy(unit).agg(
-        F.count(F.lit(1)).alias("record_count"),
+        F.sum(n).alias("record_count"),
         F.min("q").alias("min_quantity"),
         F.max("q").alias("max_quantity"),
-        F.avg("q").alias("mean_quantity"),
+        *[c.alias(name) for name, c in sums.items()],
     )
-    return grouped.join(group_medians(data, unit, "q", "median_quantity", exact), unit, "left")
+    return grouped.join(medians.select(unit, F.col("value").alias("median_quantity")), unit, "left")
 
 
 def _fractional(quantity: Column) -> Column:
