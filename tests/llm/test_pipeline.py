@@ -15,7 +15,7 @@ from test_simhash import brute_groups, brute_print
 
 def brute_after_language(rows, predicted):
     """Documents and texts that line dedup and SimHash leave, from plain Python."""
-    kept = [(i, t) for (i, t, *_), (lang, score) in zip(rows, predicted) if lang != "und" and score >= corpus_pipeline.LEAST_SCORE]
+    kept = [(i, t) for (i, t, *_), (lang, _) in zip(rows, predicted) if lang != "und"]
     seen = Counter()
     for _, text in set(kept):
         seen.update({lowered(x.strip(ASCII_SPACE)) for x in text.split("\n")} - {""})
