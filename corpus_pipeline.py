@@ -12,18 +12,16 @@ from cargolens.llm import language_id, line_dedup, packing, simhash
 from cargolens.llm.columns import columns_of
 from cargolens.storage import scratch_path
 
-#: Least share of the posterior. Short clean texts, such as a name, spread over the languages: none goes for that.
-LEAST_SCORE = 0.0
-
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents for which the PPM trees have a language; a missing ``lang`` is filled in.
 
     The trees learn from the labelled two thirds. Texts without a letter and null texts go; if there is nothing to learn
-    from, that is all of them.
+    from, that is all of them. No document goes for a low score: short clean texts, such as a name, spread over the
+    languages.
     """
     found = language_id.identify(docs, language_id.learnable(docs))
-    kept = found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    kept = found.where(F.col("lang_pred") != language_id.UNKNOWN)
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*columns_of(docs))
 
 
