@@ -6,15 +6,34 @@ HTML or text, one ``conversion`` record with the page's plain text. Both carry `
 id, its target, date and digests; record ids are derived from the response's id, so a repeated run makes the same ones.
 ``write_warc`` and ``read_warc`` are the file sink and source.
 
-Everything is row by row in DataFrame functions: no shuffle, whatever the hosts or sizes.
+Everything is row by row, in DataFrame functions but for the reading of files: no shuffle, whatever the hosts or sizes.
 """
 
 from __future__ import annotations
 
+import gzip
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cargolens.llm.columns import BATCH_BYTES, bounded_batches
+
 VERSION, CRLF = "WARC/1.1", "\r\n"
+#: Header field that holds the source's HTTP headers, and the columns of the fields a file's records are read into.
+SOURCE_HEADERS = "X-Source-Headers"
+FIELDS = {
+    "record_id": "WARC-Record-ID",
+    "warc_type": "WARC-Type",
+    "refers_to": "WARC-Refers-To",
+    "refers_to_digest": "WARC-Refers-To-Digest",
+    "target_uri": "WARC-Target-URI",
+    "warc_date": "WARC-Date",
+    "content_type": "Content-Type",
+    "content_digest": "WARC-Block-Digest",
+}
 #: Date of records whose source has none.
 NO_DATE = "1970-01-01T00:00:00Z"
 
@@ -128,8 +147,16 @@ def derivatives(records: DataFrame) -> DataFrame:
     )
 
 
+#: Records of a file at most, so that a file stays small enough to be read whole.
+FILE_RECORDS = 20_000
+
+
 def write_warc(records: DataFrame, path: str, compression: str = "none") -> None:
-    """Derivative records as WARC files, one for each task."""
+    """Derivative records as WARC files, one or more for each task.
+
+    The source's HTTP headers go into a field of their own, as a JSON string in brackets: they have line ends. Line ends
+    in any other field, such as a broken URL, become blanks.
+    """
     fields = [
         ("WARC-Type", F.col("warc_type")),
         ("WARC-Record-ID", F.col("record_id")),
@@ -138,34 +165,65 @@ def write_warc(records: DataFrame, path: str, compression: str = "none") -> None
         ("WARC-Target-URI", F.col("target_uri")),
         ("WARC-Date", F.col("warc_date")),
         ("WARC-Block-Digest", F.col("content_digest")),
+        (SOURCE_HEADERS, F.to_json(F.array("source_headers"))),
         ("Content-Type", F.col("content_type")),
         ("Content-Length", F.col("content_length").cast("string")),
     ]
-    head = [F.concat(F.lit(f"{name}: "), F.coalesce(value, F.lit("")), F.lit(CRLF)) for name, value in fields]
+    one_line = {name: F.regexp_replace(F.coalesce(value, F.lit("")), "[\\r\\n]", " ") for name, value in fields}
+    head = [F.concat(F.lit(f"{name}: "), value, F.lit(CRLF)) for name, value in one_line.items()]
     record = F.concat(F.lit(VERSION + CRLF), *head, F.lit(CRLF), F.coalesce("content", F.lit("")))
-    records.select(record.alias("value")).write.option("lineSep", CRLF + CRLF).option("compression", compression).text(path)
+    writer = records.select(record.alias("value")).write.option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", FILE_RECORDS)
+    writer.option("compression", compression).text(path)
+
+
+def records_of(data: bytes, path: str) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Header fields (names in lower case) and block of each record of a WARC file, plain or gzip.
+
+    A record ends where its length says, whatever its block holds; a file that is cut short is an error.
+    """
+    if data[:2] == b"\x1f\x8b":
+        data = gzip.decompress(data)
+    end, gap, at = len(data), (CRLF + CRLF).encode(), 0
+    while True:
+        while data[at : at + 2] == CRLF.encode():
+            at += 2
+        if at == end:
+            return
+        body = data.find(gap, at)
+        lines = data[at:body].decode().split(CRLF)
+        fields = {name.lower(): value.strip() for name, _, value in (x.partition(":") for x in lines[1:])}
+        length = fields.get("content-length", "")
+        if body < 0 or not lines[0].startswith("WARC/") or not length.isdigit() or body + 4 + int(length) > end:
+            raise ValueError(f"no whole WARC record at byte {at} of {path}")
+        at = body + 4 + int(length)
+        yield fields, data[body + 4 : at]
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of files that ``write_warc`` wrote. A record ends where its length says."""
-    raw = spark.read.option("lineSep", VERSION + CRLF).text(path).where(F.length("value") > 0)
-    at = F.instr("value", CRLF + CRLF)
-    rows = raw.select(F.concat(F.lit(CRLF), F.substring("value", F.lit(1), at - 1), F.lit(CRLF)).alias("head"), F.substring("value", at + 4, F.length("value")).alias("rest"))
-    field = lambda name: F.coalesce(http_field(F.col("head"), name), F.lit(""))
-    length = field("Content-Length").cast("long")
-    content = F.decode(F.substring(F.encode("rest", "UTF-8"), F.lit(1), length.cast("int")), "UTF-8")
-    return rows.select(
-        field("WARC-Record-ID").alias("record_id"),
-        field("WARC-Type").alias("warc_type"),
-        field("WARC-Refers-To").alias("refers_to"),
-        field("WARC-Refers-To-Digest").alias("refers_to_digest"),
-        field("WARC-Target-URI").alias("target_uri"),
-        field("WARC-Date").alias("warc_date"),
-        field("Content-Type").alias("content_type"),
-        content.alias("content"),
-        length.alias("content_length"),
-        field("WARC-Block-Digest").alias("content_digest"),
-    )
+    """Records of WARC files of text, as ``write_warc`` writes them, with the source's headers. A file is read whole by one task."""
+    bounded_batches(spark)
+    kinds = {"content_length": pa.int64()}
+    columns = [*FIELDS, "source_headers", "content", "content_length"]
+
+    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                rows, size = [], 0
+                for fields, block in records_of(data.as_py(), name):
+                    headers = json.loads(fields.get(SOURCE_HEADERS.lower()) or "[null]")[0]
+                    rows.append([*[fields.get(f.lower(), "") for f in FIELDS.values()], headers, block.decode(), len(block)])
+                    size += len(block)
+                    if size >= BATCH_BYTES:
+                        yield arrow(rows)
+                        rows, size = [], 0
+                yield arrow(rows)
+
+    def arrow(rows: list[list]) -> pa.RecordBatch:
+        each = zip(*rows) if rows else [[] for _ in columns]
+        return pa.RecordBatch.from_arrays([pa.array(list(v), kinds.get(c, pa.string())) for c, v in zip(columns, each)], columns)
+
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    return files.mapInArrow(parsed, ", ".join(f"{c} {'long' if c in kinds else 'string'}" for c in columns))
 
 
 def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from cargolens.llm import warc
@@ -70,6 +71,40 @@ def test_files_round_trip(spark, tmp_path):
         assert sorted(map(tuple, warc.read_warc(spark, f"{tmp_path}/{folder}").select(*columns).collect())) == expected
 
 
+def test_every_text_and_the_source_headers_round_trip(spark, tmp_path):
+    hard = [
+        (20, "http://h.example/", "ends in WARC/1.1"),
+        (21, "http://h.example/2", "<pre>WARC/1.1\r\nContent-Length: 5\r\n\r\nxx</pre>"),
+        (22, "http://h.example/3", "\r\n\r\n"),
+        (23, "http://h.example/4", None),
+        (None, None, "é \U0001f600 WARC/1.1\r\n"),
+        (24, "http://h.example/5", "x" * 300_000),
+    ]
+    frame = pages(spark).select("page_id", "url", "html").union(spark.createDataFrame(hard, "page_id long, url string, html string"))
+    # plain text keeps the line ends that HTML loses
+    records = warc.responses(frame)
+    plain = records.withColumn("http_headers", F.lit("HTTP/1.1 200 OK\r\ncontent-type: text/plain\r\nX-A: \"q\"\r\n\r\n"))
+    made = warc.derivatives(records.union(plain))
+    columns = [*warc.FIELDS, "source_headers", "content", "content_length"]
+    expected = sorted(map(tuple, made.select(*columns).collect()), key=str)
+    assert sum("WARC/1.1\r\n" in r[-2] for r in expected) >= 2
+    for compression in ("none", "gzip"):
+        warc.write_warc(made.repartition(3), f"{tmp_path}/{compression}", compression)
+        assert sorted(map(tuple, warc.read_warc(spark, f"{tmp_path}/{compression}").select(*columns).collect()), key=str) == expected
+
+
+def test_a_file_that_is_cut_short_is_an_error(spark, tmp_path):
+    made = warc.derivatives(warc.responses(pages(spark))).coalesce(1)
+    warc.write_warc(made, str(tmp_path / "whole"))
+    [file] = (tmp_path / "whole").glob("part-*")
+    data = file.read_bytes()
+    assert len(list(warc.records_of(data, "x"))) == made.count() and list(warc.records_of(b"", "x")) == []
+    with pytest.raises(ValueError):
+        list(warc.records_of(data[:-10], "x"))
+    with pytest.raises(ValueError):
+        list(warc.records_of(b"something else\r\n\r\n", "x"))
+
+
 def test_empty_table_and_extra_columns(spark, empty_dir):
     assert warc.op2_warc_derivatives(spark, empty_dir).count() == 0
     extra = pages(spark).withColumns({n: F.lit("x") for n in ("record_id", "payload", "text", "kind", "content")})
