@@ -24,9 +24,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cargolens.llm.columns import bounded_batches, bucket
+from cargolens.operators.running import numbered
 from cargolens.storage import stored
 
 CLASSES, DIMS, FREQUENT = 512, 32, 65_536
@@ -88,10 +90,22 @@ class Counts:
 
 
 def corpus_counts(counts: DataFrame, frequent: int = FREQUENT) -> Counts:
+    """Totals and the ``frequent`` most frequent tokens, ties by token; only rows that are kept come to the driver.
+
+    The tokens of each count are counted first, which tells the count at which the list is full. Tokens above it are
+    fewer than the list; those with just that count are numbered by a range sort.
+    """
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     end = [r.n for r in counts.where(F.octet_length("token") == 0).collect()]
-    top = counts.where(F.octet_length("token") > 0).orderBy(F.col("n").desc(), "token").limit(frequent - 1).collect()
-    return Counts(total, distinct, [(END, end[0] if end else 0), *((bytes(r.token), r.n) for r in top)])
+    words = counts.where(F.octet_length("token") > 0)
+    # different counts are at most the root of twice the tokens
+    sizes = words.groupBy("n").agg(F.count("*").alias("words"))
+    upto = F.sum("words").over(W.orderBy(F.desc("n")).rowsBetween(W.unboundedPreceding, 0))
+    full = sizes.withColumn("upto", upto).where(F.col("upto") >= frequent - 1).agg(F.max("n")).first()[0] or 0
+    top = [(bytes(r.token), r.n) for r in words.where(F.col("n") > full).collect()]
+    ties = numbered(words.where(F.col("n") == full), [F.asc("token")], "place").where(F.col("place") < frequent - len(top))
+    top += [(bytes(r.token), r.n) for r in ties.collect()]
+    return Counts(total, distinct, [(END, end[0] if end else 0), *sorted(top, key=lambda x: (-x[1], x[0]))])
 
 
 class LogBilinear:
