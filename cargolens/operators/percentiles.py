@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..storage import stored
 from . import sketches
-from .aggregates import mean
 
 QUARTILES = (25, 50, 75)
 
@@ -56,8 +56,11 @@ def group_points(
     data = df.select(*groups, v.alias("_v"), *([F.col(times).alias("_times")] if times else []))
     data = data.dropna(subset=[*groups, "_v"]).withColumn("_bucket", bucket_of(F.col("_v")))
     rows = F.sum("_times") if times else F.count(F.lit(1))
+    return _points(data, data.groupBy(*groups, "_bucket").agg(rows.alias("_n")), groups, percents, rows)
 
-    buckets = data.groupBy(*groups, "_bucket").agg(rows.alias("_n"))
+
+def _points(data: DataFrame, buckets: DataFrame, groups: list[str], percents, rows: Column) -> DataFrame:
+    """The second pass: ``data`` has ``(groups, _bucket, _v)``, ``buckets`` their number of rows ``_n``."""
     inside = W.partitionBy(*groups)
     buckets = buckets.withColumns(
         {
@@ -100,11 +103,11 @@ def group_points(
     return found.select(*groups, F.col("percent").alias("percentile"), point.alias("value"))
 
 
-def percentile_points(df: DataFrame, value: str, percents, exact: bool = True) -> DataFrame:
+def percentile_points(df: DataFrame, value: str, percents, exact: bool = True, times: str | None = None) -> DataFrame:
     """One row per percentile: ``(percentile, value)``; null values without rows."""
     spark = df.sparkSession
     every = spark.createDataFrame([(int(p), float(p)) for p in sorted(percents)], "percentile int, _p double")
-    points = group_points(df, [], value, percents, exact=exact).withColumnRenamed("percentile", "_p")
+    points = group_points(df, [], value, percents, times, exact).withColumnRenamed("percentile", "_p")
     return every.join(F.broadcast(points), "_p", "left").select("percentile", "value")
 
 
@@ -121,31 +124,42 @@ def describe(df: DataFrame, value: str, percents=QUARTILES, exact: bool = True)
 def describe_table(df: DataFrame, columns, percents=QUARTILES, exact: bool = True) -> DataFrame:
     """Describe rows of several columns: ``(column_name, statistic, value)``.
 
-    The columns are stacked, so both percentile passes and the moments each read the table once for all of them.
+    The columns are stacked and read twice: once for their buckets, written when the function is called, which give the
+    moments too, and once for the values of the buckets that hold a percentile. Sketches need no second pass.
     """
-    percents = percents or QUARTILES
-    moments = ["count", "mean", "std", "min", "max"]
-
-    def of(column: str) -> list[Column]:
-        v = F.col(column).cast("double")
-        return [F.count(v).cast("double"), mean(df, column), F.stddev_samp(v), F.min(v), F.max(v)]
-
-    one = df.agg(*[F.struct(*[e.alias(n) for n, e in zip(moments, of(c))]).alias(c) for c in columns])
-    entries = [
-        F.struct(F.lit(c).alias("column_name"), F.lit(n).alias("statistic"), F.col(c)[n].alias("value"))
-        for c in columns
-        for n in moments
-    ]
-    stacked = df.select(
-        F.inline(
-            F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("_value")) for c in columns])
-        )
-    )
-    points = group_points(stacked, ["column_name"], "_value", percents, exact=exact)
-    names = df.sparkSession.createDataFrame(
-        [(c, float(p), f"p{int(p):02d}") for c in columns for p in sorted(percents)],
-        "column_name string, percentile double, statistic string",
+    spark, percents, key = df.sparkSession, sorted(percents or QUARTILES), ["column_name"]
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("_v")) for c in columns]
+    data = df.select(F.inline(F.array(*pairs))).dropna(subset=["_v"]).withColumn("_bucket", bucket_of(F.col("_v")))
+    rows = F.count(F.lit(1))
+    of_bucket = [rows.alias("_n"), F.avg("_v").alias("_mean"), (F.var_pop("_v") * rows).alias("_squares")]
+    of_bucket += [F.min("_v").alias("_min"), F.max("_v").alias("_max")]
+    sketch = [] if exact else [F.kll_sketch_agg_double("_v", sketches.K).alias("_v")]
+    buckets = stored(data.groupBy(*key, *(["_bucket"] if exact else [])).agg(*of_bucket, *sketch), "buckets")
+    if exact:
+        points = _points(data, buckets.select(*key, "_bucket", "_n"), key, percents, rows)
+    else:
+        points = sketches.points(buckets.withColumnRenamed("_n", "_v_rows"), "_v", percents, key)
+
+    # squares around the mean of all, from those around the buckets' means
+    of_column = W.partitionBy(*key)
+    whole = F.sum(F.col("_mean") * F.col("_n")).over(of_column) / F.sum("_n").over(of_column)
+    apart = F.col("_squares") + F.col("_n") * (F.col("_mean") - F.col("_whole")) * (F.col("_mean") - F.col("_whole"))
+    n = F.sum("_n").cast("double")
+    moments = {
+        "count": n,
+        "mean": F.sum(F.col("_mean") * F.col("_n")) / n,
+        "std": F.when(n > 1, F.sqrt(F.sum("_apart") / (n - 1))),
+        "min": F.min("_min"),
+        "max": F.max("_max"),
+    }
+    sums = buckets.withColumn("_whole", whole).withColumn("_apart", apart).groupBy(*key).agg(*[e.alias(m) for m, e in moments.items()])
+    entries = [F.struct(F.lit(m).alias("statistic"), F.col(m).alias("value")) for m in moments]
+    found = sums.select(*key, F.inline(F.array(*entries)))
+    found = found.unionByName(points.select(*key, F.format_string("p%02d", F.col("percentile").cast("int")).alias("statistic"), "value"))
+    # a column without values has its moments and percentiles as nulls, and 0 rows
+    names = spark.createDataFrame(
+        [(c, s) for c in columns for s in [*moments, *[f"p{int(p):02d}" for p in percents]]], "column_name string, statistic string"
     )
-    # a column without values has its percentiles as nulls; the point table has a row for each column and percentile
-    shown = names.join(F.broadcast(points), ["column_name", "percentile"], "left")
-    return one.select(F.inline(F.array(*entries))).unionByName(shown.select("column_name", "statistic", "value"))
+    shown = names.join(F.broadcast(found), ["column_name", "statistic"], "left")
+    value = F.when(F.col("statistic") == "count", F.coalesce("value", F.lit(0.0))).otherwise(F.col("value"))
+    return shown.select("column_name", "statistic", value.alias("value"))

@@ -10,10 +10,20 @@ from ..functions.text import strip
 from ..schema import MEASURES, TEXT_COLUMNS, present
 from ..storage import stored
 from . import sketches
+from .aggregates import total
 from .percentiles import group_points, percentile_points
 from .ranking import top_in_group, top_k
 
 
+#: Limits of the weight distribution (fixed values).
+WEIGHT_LIMITS = {"below_1": ("<", 1), "below_0_1": ("<", 0.1), "below_0_001": ("<", 0.001), "above_1000": (">", 1000)}
+
+
+def limited(value: Column, limit: tuple[str, float]) -> Column:
+    """Whether a value lies beyond a limit of ``WEIGHT_LIMITS``."""
+    return value < limit[1] if limit[0] == "<" else value > limit[1]
+
+
 def _rows(pairs: list[tuple[str, dict[str, Column]]], label: str) -> Column:
     """Unpivot one wide row: a struct per label, exploded."""
     return F.inline(
@@ -112,21 +122,22 @@ def value_counts(df: DataFrame, column: str, k: int | None = None, by: str = "co
 
 
 def weight_distribution(df: DataFrame, column: str = "weight") -> DataFrame:
-    """One row: min, max, mean, exact median, and counts of light and heavy records."""
-    weight = to_number(column)
-    data = df.select(weight.alias("w"))
-    limits = {
-        "below_1": F.col("w") < 1,
-        "below_0_1": F.col("w") < 0.1,
-        "below_0_001": F.col("w") < 0.001,
-        "above_1000": F.col("w") > 1000,
-    }
-    names = ["total_rows", "min_weight", "max_weight", "mean_weight", *limits]
-    totals = [F.count(F.lit(1)), F.min("w"), F.max("w"), F.avg("w")]
-    totals += [F.count_if(condition) for condition in limits.values()]
-    median = percentile_points(data, "w", [50]).select("value").scalar()
-    found = data.agg(*[t.alias(n) for n, t in zip(names, totals)])
-    return found.select("*", median.alias("median_weight")).withColumns({f"{name}_pct": _share(F.col(name), F.col("total_rows")) for name in limits})
+    """One row: min, max, mean, exact median, and counts of light and heavy records.
+
+    The table is read once, when the function is called: its different weights with their numbers of records.
+    """
+    data = stored(df.select(to_number(column).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")), "weights")
+    known = F.sum(F.when(F.col("w").isNotNull(), F.col("n")))
+    median = percentile_points(data, "w", [50], times="n").select("value").scalar()
+    found = data.agg(
+        total("n").alias("total_rows"),
+        F.min("w").alias("min_weight"),
+        F.max("w").alias("max_weight"),
+        F.try_divide(F.sum(F.col("w") * F.col("n")), known).alias("mean_weight"),
+        *[total(F.when(limited(F.col("w"), limit), F.col("n"))).alias(name) for name, limit in WEIGHT_LIMITS.items()],
+    )
+    shares = {f"{name}_pct": _share(F.col(name), F.col("total_rows")) for name in WEIGHT_LIMITS}
+    return found.select("*", median.alias("median_weight")).withColumns(shares)
 
 
 def unit_quantities(df: DataFrame, unit: str = "unit_quantity", quantity: str = "quantity", exact: bool = True):
