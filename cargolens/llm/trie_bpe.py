@@ -124,11 +124,15 @@ class WordBpe:
                 token = before + word[depth - 1] + ending
                 if token not in vocab or not (self.fits(last[start], token) if start else self.whole(token)):
                     start, token = self.last_token(word, depth, ending, last)
-                if depth == size:
-                    self.words[word] = ids[start] + id_bytes[token]
-                else:
+                if depth < size:
                     last.append(token)
-                    ids.append(ids[start] + id_bytes[token])
+                    ids.append(id_bytes[token])
+            # a state is its last token only; where that begins stands the state before it
+            parts = [id_bytes[token]]
+            while start:
+                parts.append(ids[start])
+                start -= len(last[start])
+            self.words[word] = b"".join(reversed(parts))
 
     def last_token(self, word: str, depth: int, ending: str, last: list[str]) -> tuple[int, str]:
         """Where the token that ends a prefix begins, and the token, from the last tokens of all shorter prefixes."""

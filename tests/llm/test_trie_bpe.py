@@ -82,3 +82,17 @@ def test_query_against_the_library(spark, edge_dir, rows, library):
 def test_empty_table_and_clashing_columns(spark, empty_dir, clashing):
     assert trie_bpe.op3_trie_bpe(spark, empty_dir).count() == 0
     assert trie_bpe.encode_documents(clashing).count() == 20
+
+
+def test_memory_of_a_very_long_word_is_linear():
+    import tracemalloc
+
+    bpe = trie_bpe.loaded(public_tokenizers.path("word_bpe_49k.json"))
+    word = "thequickbrown" * 15_000
+    tracemalloc.start()
+    bpe.encode_words([word])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    ids = bpe.words.pop(word)
+    assert bpe.decode(ids).replace(" ", "").replace("</w>", "") == word
+    assert peak < 60 << 20
