@@ -27,6 +27,15 @@ THRESHOLD, TILE_ROWS = 0.93, 2048
 BLOCK = 1 << 15
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Vectors with their largest component between 0.5 and 1, so that no square leaves the range of doubles.
+
+    The factors are powers of two: cosines stay as they are to the last bit.
+    """
+    _, exponent = np.frexp(np.abs(vectors).max(axis=1, keepdims=True))
+    return np.ldexp(vectors, -exponent)
+
+
 def quantised(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """int8 codes of the unit vectors, scales, norms of what the codes stand for, and norms of the error."""
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
@@ -58,7 +67,7 @@ def tile_result(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
     """Of two tiles (or one, joined with itself): each linked class, its links' copies, its local root."""
     group = group.sort_values("node", kind="stable")
     nodes, copies = group["node"].to_numpy(), group["copies"].to_numpy(np.float64)
-    vectors = np.array(group["embedding"].tolist(), np.float64).reshape(len(group), -1)
+    vectors = scaled(np.array(group["embedding"].tolist(), np.float64).reshape(len(group), -1))
     if group["low"].iloc[0] == group["high"].iloc[0]:
         left, right = tile_links(vectors, vectors, threshold)
         left, right = left[left < right], right[left < right]
@@ -93,7 +102,7 @@ def embedding_groups(
     whole = F.col("label").isNotNull() & finite & F.exists("embedding", lambda x: x != 0)
     rows = rows.withColumn("valid", F.coalesce(whole, F.lit(False)))
     alone = rows.where("not valid").select(
-        "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
+        "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept")
     )
     key = ["label", "dims", "sign", "second_sign"]
     rows = rows.where("valid").select(

@@ -93,3 +93,15 @@ def test_empty_table_and_extra_columns(spark, empty_dir):
     assert embedding_dedup.op9_embedding_dedup(spark, empty_dir).count() == 0
     frame = spark.createDataFrame([(1, [1.0], 0, 5, 6, 7)], SCHEMA + ", node long, sign long, links long")
     assert embedding_dedup.embedding_groups(frame).first() == (1, 0, 1, True)
+
+
+def test_parallel_vectors_of_any_size_link(spark):
+    rows = [(1, [1e-200, 2e-200], 0), (2, [2e-200, 4e-200], 0), (3, [1e200, 2e200], 0), (4, [5e-324, 1e-323], 0), (5, [-1.0, 2.0], 0)]
+    found = {r["vec_id"]: r for r in embedding_dedup.embedding_groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert [found[i]["n_links"] for i in range(1, 6)] == [3, 3, 3, 3, 0] and found[4]["component_id"] == 1
+
+
+def test_a_null_id_is_never_kept(spark):
+    rows = [(None, None, 0), (None, [1.0], 0), (7, [0.0], 0)]
+    found = embedding_dedup.embedding_groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((str(r["vec_id"]), r["kept"]) for r in found) == [("7", True), ("None", False), ("None", False)]
