@@ -239,18 +239,20 @@ INSIGHTS = {
 }
 
 
-def key_insights(df: DataFrame, years: tuple[int, int] | None = None) -> DataFrame:
-    """Rows ``(insight, label, value, pct)`` from one scan of the table.
+def key_insights(
+    df: DataFrame | None, years: tuple[int, int] | None = None, members: DataFrame | None = None
+) -> DataFrame:
+    """Rows ``(insight, label, value, pct)`` from one scan of the table, or from given ``members``.
+
+    ``members`` are totals of the dimensions of ``INSIGHTS`` and the years, as ``rollups.dimension_members`` gives them.
 
     The largest country, commodity, mode and state with their shares, FOB growth from
     the first to the second year (``years``, else the first two held), and the shares of the top 5 countries and top 10
     commodities. Shares refer to the members of a dimension.
     """
-    members = materialize(
-        dimension_totals(df, [*INSIGHTS, "year"], ("valuecif", "valuefob")).where(
-            F.col("dimension") != "total"
-        )
-    )
+    if members is None:
+        members = dimension_totals(df, [*INSIGHTS, "year"], ("valuecif", "valuefob"))
+    members = materialize(members.where(F.col("dimension") != "total"))
     measure = F.when(
         F.col("dimension").isin("mode_description", "year"), F.col("valuefob")
     ).otherwise(F.col("valuecif"))
@@ -313,14 +315,21 @@ SUMMARY_TOPS = {
 SUMMARY_MAPS = ("mode_description", "state")
 
 
-def summary_members(df: DataFrame, tops: dict[str, int] | None = None) -> DataFrame:
-    """Top lists, mode and state values and years as ``(section, rank, member, valuecif)``."""
+def summary_members(
+    df: DataFrame | None, tops: dict[str, int] | None = None, members: DataFrame | None = None
+) -> DataFrame:
+    """Top lists, mode and state values and years as ``(section, rank, member, valuecif)``; ``members`` as below."""
     tops = tops or SUMMARY_TOPS
-    return _ranked_members(_summary_totals(df, tops, ["valuecif"]), tops)
+    return _ranked_members(_summary_totals(df, tops, ["valuecif"], members), tops)
+
 
+def summary_dimensions(tops: dict[str, int] | None = None) -> list[str]:
+    """The dimensions that a summary adds up."""
+    return [*(tops or SUMMARY_TOPS), *SUMMARY_MAPS, "year"]
 
-def _summary_totals(df: DataFrame, tops: dict[str, int], measures) -> DataFrame:
-    return materialize(dimension_totals(df, [*tops, *SUMMARY_MAPS, "year"], measures))
+
+def _summary_totals(df: DataFrame | None, tops: dict[str, int], measures, members: DataFrame | None) -> DataFrame:
+    return materialize(dimension_totals(df, summary_dimensions(tops), measures) if members is None else members)
 
 
 def _ranked_members(members: DataFrame, tops: dict[str, int]) -> DataFrame:
@@ -339,15 +348,21 @@ def _ranked_members(members: DataFrame, tops: dict[str, int]) -> DataFrame:
     )
 
 
-def summary_statistics(df: DataFrame, tops: dict[str, int] | None = None) -> DataFrame:
-    """One nested row: totals, year range, top lists, and mode and state maps."""
+def summary_statistics(
+    df: DataFrame | None, tops: dict[str, int] | None = None, members: DataFrame | None = None
+) -> DataFrame:
+    """One nested row: totals, year range, top lists, and mode and state maps.
+
+    From one scan of the table, or from given ``members``: totals of ``summary_dimensions`` and of everything, as
+    ``rollups.dimension_members`` gives them.
+    """
     tops = tops or SUMMARY_TOPS
     labels = {
         "country_description": ("top_countries", "country"),
         "commodity_description": ("top_commodities", "commodity"),
         "ausport_description": ("top_ports", "port"),
     }
-    stored = _summary_totals(df, tops, MEASURES)
+    stored = _summary_totals(df, tops, MEASURES, members)
     members = _ranked_members(stored, tops)
 
     def listed(section: str, label: str):

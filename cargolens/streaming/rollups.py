@@ -12,10 +12,12 @@ coarser total, share or mean comes out as it would from the records; sums of dou
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.aggregates import RECORDS, records, set_count, values_set
+from ..operators.aggregates import RECORDS, dimension_totals, records, set_count, values_set
 from ..schema import AMOUNT_TYPE, AMOUNTS, MEASURES
 from ..storage import files_under, path_exists, remove_path
 
@@ -129,6 +131,13 @@ def covering(spark: SparkSession, root: str, *columns: str) -> DataFrame:
     return _stored(spark, root, min(sizes, key=lambda n: (sizes[n], n)))
 
 
+def dimension_members(spark: SparkSession, root: str, dimensions, measures=MEASURES) -> DataFrame:
+    """``aggregates.dimension_totals`` of the store's records, each dimension from its smallest stored aggregate."""
+    rows = [("total", dimension_totals(covering(spark, root), ["year"], measures))]
+    rows += [(d, dimension_totals(covering(spark, root, d), [d], measures)) for d in dimensions]
+    return reduce(DataFrame.unionByName, [part.where(F.col("dimension") == name) for name, part in rows])
+
+
 def _stored(spark: SparkSession, root: str, name: str) -> DataFrame:
     kinds = {"year": "int", "month_number": "int", RECORDS: "bigint"}
     kinds |= {m: "decimal(38,2)" if m in AMOUNTS else "double" for m in MEASURES} | {set_count(m): "bigint" for m in MEASURES}

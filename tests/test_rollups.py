@@ -1,5 +1,6 @@
 """Stored aggregates: reports from them read no records, equal those from records, and follow a store's months."""
 
+import json
 import re
 
 import pytest
@@ -7,8 +8,9 @@ from pyspark.sql import functions as F
 
 from cargolens.operators import aggregates, concentration, trends
 from cargolens.plans import reports
+from cargolens.plans.refresh import refresh
 from cargolens.streaming import rollups, upsert
-from verification.imports_view import imports_fact
+from verification.imports_view import imports_fact, imports_raw
 
 SF = "/root/testdata/sf0.001"
 
@@ -91,3 +93,15 @@ def test_missing_columns_become_null_members(spark, tmp_path):
     rollups.build_rollups(rows, str(tmp_path / "kept"), str(tmp_path / "scratch"))
     found = aggregates.grand_totals(rollups.covering(spark, str(tmp_path / "kept"))).first()
     assert (found["total_records"], found["total_weight"], found["mean_weight"], found["total_valuecif"]) == (2, 2.0, 2.0, 0.0)
+
+
+def test_the_summary_of_a_refresh_reads_no_record(spark, tmp_path):
+    raw = imports_raw(spark, SF).where("`Month` IS NOT NULL")
+    with_rollups, without = str(tmp_path / "a"), str(tmp_path / "b")
+    refresh(spark, raw, with_rollups, f"{with_rollups}-summary", years=[2024, 2025], rollups=True)
+    refresh(spark, raw, without, f"{without}-summary", years=[2024, 2025])
+    documents = [json.loads(next((tmp_path / f"{n}-summary/summary_statistics").glob("*.json")).read_text()) for n in "ab"]
+    for key, value in documents[1].items():
+        assert documents[0][key] == (pytest.approx(value) if isinstance(value, float) else value), key
+    members = rollups.dimension_members(spark, rollups.rollups_of(with_rollups), reports.summary_dimensions())
+    assert members.inputFiles() and all("/a.rollups/" in f for f in members.inputFiles())

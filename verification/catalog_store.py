@@ -11,9 +11,9 @@ from cargolens.sources import pages, scan, sinks
 from cargolens.storage import path_exists, remove_path, scratch_path, stored
 from cargolens.streaming import rollups, totals, upsert
 
-from .catalog import CONC_DIGITS, COUNTRY, COVERS, ITEM, IV_DIGITS, ORACLES, QUERIES, SUPPLIER_DIGITS, longs, query, rounded
+from .catalog import CONC_DIGITS, COUNTRY, COVERS, ITEM, IV_DIGITS, ORACLES, QUERIES, SCORED_DIGITS, SUPPLIER_DIGITS, longs, query, rounded
 from .catalog_tables import _batch, _drops, _merged_sql, _refreshed_sql, _store_months, raw
-from .imports_view import CLEAN_SQL, FACT_COLUMNS, RAW_SQL, imports_fact, number_sql
+from .imports_view import CLEAN_SQL, FACT_COLUMNS, FACT_SQL, RAW_SQL, imports_fact, number_sql
 
 # ---------------------------------------------------------------- crashes and restated records
 
@@ -162,11 +162,39 @@ def _suppliers(df):
     return rounded(trends.supplier_trends(df), **SUPPLIER_DIGITS)
 
 
+@from_rollups("commodity_dependence", ITEM)
+def _dependence(df):
+    return rounded(concentration.dependence(df, cumulative="name"), weight=4, dependence_pct=6, cumulative_pct=6)
+
+
+@from_rollups("combined_risk", ITEM, COUNTRY)
+def _combined(df):
+    return rounded(concentration.combined_risk(df), **SCORED_DIGITS)
+
+
+@from_rollups("commodity_trends", ITEM)
+def _commodity_trends(df):
+    return rounded(trends.commodity_trends(df), weight_2024=4, weight_2025=4, growth_rate_pct=6)
+
+
 @from_rollups("port_concentration", "ausport_description", COUNTRY)
 def _ports(df):
     return rounded(matrix.port_concentration(df), total_value=2)
 
 
+@query("R18 T7 W5", ORACLES["key_insights"].removeprefix(f"WITH {FACT_SQL}"))
+def rolled_up_key_insights(spark, sf_dir):
+    """Each dimension from its own stored aggregate."""
+    members = rollups.dimension_members(spark, _rollups(spark, sf_dir), [*reports.INSIGHTS, "year"], ("valuecif", "valuefob"))
+    return rounded(reports.key_insights(None, (2024, 2025), members), pct=6)
+
+
+@query("R19 A45", ORACLES["summary_members"].removeprefix(f"WITH {FACT_SQL}"))
+def rolled_up_summary_members(spark, sf_dir):
+    members = rollups.dimension_members(spark, _rollups(spark, sf_dir), reports.summary_dimensions(), ("valuecif",))
+    return longs(reports.summary_members(None, members=members), "rank")
+
+
 # ---------------------------------------------------------------- quality from one scan
 
 _NUMBERS = ("weight", "valuefob", "valuecif", "quantity")
