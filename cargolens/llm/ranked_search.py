@@ -287,9 +287,15 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     spark = docs.sparkSession
     bounded_batches(spark)
     text = F.col(f"`{text_col}`")
-    # a place may be the start of a term without the terms being built: the text's A-Z need no lowering to be counted
-    n = F.coalesce(F.regexp_count(text, F.lit(TERM)), F.lit(0))
-    documents, length = docs.select(n.alias("n")).agg(F.count_if(F.col("n") > 0), F.coalesce(F.sum("n"), F.lit(0))).first()
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.cast("binary").alias("text"))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = np.array([len((t.as_py() or b"").translate(LOWERED).split()) for t in batch.column(0)], np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([int((n > 0).sum())]), pa.array([int(n.sum())])], ["documents", "length"])
+
+    counts = rows.select("text").mapInArrow(counted, "documents long, length long")
+    documents, length = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in counts.columns]).first()
 
     def sharded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, number = Shard(documents, length), TaskContext.get().partitionId() << 32
@@ -310,7 +316,6 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             yield from done()
 
     path = scratch_path(spark, "index")
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.cast("binary").alias("text"))
     rows.mapInArrow(sharded, INDEX_SCHEMA).write.option("compression", "zstd").parquet(path)
     return Index(path, documents, length)
 
