@@ -13,7 +13,6 @@ Documents are not shuffled: a shard is a stretch of the task's input, so its siz
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,27 +29,14 @@ from cargolens.llm.columns import bounded_batches
 
 WINDOW = 2048
 END = 1
-#: Distinct space-separated chunks whose ids a task keeps, in two generations: when the younger is full, the elder
-#: goes, so frequent chunks stay.
-CACHED = 150_000
 K1, B = 1.2, 0.75
 
 
-class ByteEncoder(dict):
-    """Byte-level BPE of whole texts; a cache from chunks between single spaces to their ids (little-endian bytes).
-
-    Splitting a text at a space changes no token unless white space stands on both sides of that space, or before a
-    space that ends the text; such texts, and texts with a special token, go through the tokenizers library.
-    """
-
-    ODD = re.compile(r"\s \s|\s $")
-    #: What a text must hold for that, as plain searches are faster: white space before a space.
-    PAIRS = [c + " " for c in map(chr, range(0x80)) if c.isspace()]
-    WIDE_PAIRS = [c + " " for c in map(chr, range(0x80, 0x10000)) if c.isspace()]
+class ByteEncoder:
+    """Byte-level BPE of whole texts: ``tiktoken`` with the same vocabulary as ranks, and the tokenizers library itself
+    for texts that hold a special token."""
 
     def __init__(self, vocabulary: str, ranks: str):
-        super().__init__()
-        self.elder: dict[str, bytes] = {}
         self.library = Tokenizer.from_file(vocabulary)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.library.no_truncation()
@@ -59,40 +45,17 @@ class ByteEncoder(dict):
             table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.bpe = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
 
-    def plain(self, text: str) -> bytes:
-        return np.array(self.bpe.encode_ordinary(text), "<u4").tobytes()
-
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= CACHED:
-            self.elder = dict(self)
-            self.clear()
-        ids = self.elder.get(chunk)
-        if ids is None:
-            ids = self.plain(" " + chunk)
-        self[chunk] = ids
-        return ids
-
-    def forget(self) -> None:
-        self.clear()
-        self.elder = {}
-
-    def odd(self, text: str) -> bool:
-        pairs = self.PAIRS if text.isascii() else self.PAIRS + self.WIDE_PAIRS
-        return any(t in text for t in self.special) or (any(p in text for p in pairs) and bool(self.ODD.search(text)))
-
     def ids(self, text: str) -> np.ndarray:
-        if self.odd(text):
+        if any(t in text for t in self.special):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
-        chunks = text.split(" ")
-        first = self.plain(chunks[0])
-        return np.frombuffer(first + b"".join(map(self.__getitem__, chunks[1:])), "<u4")
+        return np.array(self.bpe.encode_ordinary(text), "<u4")
 
 
 _ENCODERS: dict[tuple[str, str], ByteEncoder] = {}
 
 
 def encoder(vocabulary: str, ranks: str) -> ByteEncoder:
-    """This worker's encoder, kept between tasks without its chunks: other stages need the memory."""
+    """This worker's encoder, kept between tasks."""
     if (vocabulary, ranks) not in _ENCODERS:
         _ENCODERS[vocabulary, ranks] = ByteEncoder(vocabulary, ranks)
     return _ENCODERS[vocabulary, ranks]
@@ -259,7 +222,6 @@ def pack(
                     yield packer.taken()
                     held = tokens = 0
         packer.finish()
-        encode.forget()
         yield packer.taken()
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))

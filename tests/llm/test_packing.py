@@ -103,3 +103,13 @@ def test_small_windows_and_shards(spark, rows, library):
 def test_empty_table_and_clashing_columns(spark, empty_dir, clashing):
     assert packing.op5_packing(spark, empty_dir).count() == 0
     assert {r.doc_id for r in packing.pack(clashing).collect()} == set(range(20))
+
+
+def test_odd_white_space_has_the_library_s_ids(encoder):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    pick = random.Random(7)
+    parts = [" ", "   ", "\t", "\n\n", "\x0b", "\r\n", "\x85", "\xa0", "\u2003", "\u3000", "\x1c", "\x1f", "a", "Word", "'s", "'S", "23", "é", "日本"]
+    parts += ["<|endoftext|>", "\x00", "\ufeff", "½", "क्", "_"]
+    for _ in range(3000):
+        text = "".join(pick.choice(parts) for _ in range(pick.randrange(14)))
+        assert encoder.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids
