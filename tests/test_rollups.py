@@ -105,3 +105,9 @@ def test_the_summary_of_a_refresh_reads_no_record(spark, tmp_path):
         assert documents[0][key] == (pytest.approx(value) if isinstance(value, float) else value), key
     members = rollups.dimension_members(spark, rollups.rollups_of(with_rollups), reports.summary_dimensions())
     assert members.inputFiles() and all("/a.rollups/" in f for f in members.inputFiles())
+
+
+def test_both_wide_cuboids_come_from_one_shuffle_of_records(spark, facts, tmp_path):
+    wide = rollups._wide(rollups._conformed(facts))
+    assert wide._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert wide.where("cuboid = 'commodities'").agg(F.sum(aggregates.RECORDS)).first()[0] == facts.count()
