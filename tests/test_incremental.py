@@ -210,3 +210,12 @@ def test_conform_casts_money_and_fills_columns(spark):
     row = schema.conform(df).first()
     assert row["valuefob"] == Decimal("12.35") and row["state"] is None
     assert [f.name for f in schema.IMPORTS_SCHEMA.fields] == schema.conform(df).columns
+
+
+def test_only_rows_whose_key_occurs_again_are_ranked(spark, tmp_path):
+    """A row that shares its key with no other is neither shuffled nor ranked; copies, ties and null keys are."""
+    held = spark.createDataFrame([(2024, 1, "a", 1.0), (2024, 1, "a", 2.0), (2024, 1, None, 5.0), (2024, 2, "b", 3.0)], TYPES)
+    batch = spark.createDataFrame([(2024, 1, None, 6.0), (2024, 2, "c", 7.0), (2024, 2, "c", 8.0), (2024, 3, "d", 9.0)], TYPES)
+    plain, found = upsert.merged(held, batch, KEYS), upsert.merged_stored(held, batch, KEYS)
+    assert found.columns == plain.columns and found.count() == 5
+    assert found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty()
