@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from cargolens import schema
 from cargolens.operators import aggregates
 from cargolens.plans.refresh import clean_for_store, refresh
-from cargolens.storage import scratch_path
+from cargolens import storage
+from cargolens.storage import files_under, scratch_path
 from cargolens.streaming import totals, upsert
 from verification.imports_view import imports_fact
 
@@ -219,3 +220,34 @@ def test_only_rows_whose_key_occurs_again_are_ranked(spark, tmp_path):
     plain, found = upsert.merged(held, batch, KEYS), upsert.merged_stored(held, batch, KEYS)
     assert found.columns == plain.columns and found.count() == 5
     assert found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty()
+
+
+def test_many_rows_of_a_month_stay_in_their_tasks(spark, tmp_path, monkeypatch):
+    """Each task's share of a month is a file of its own, null parts and repeated keys included; few rows are gathered."""
+    monkeypatch.setattr(storage, "MANY_ROWS", 40)
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    month = F.when(F.col("id") % 4 == 0, None).otherwise(F.col("id") % 3 + 1).cast("int").alias("month_number")
+    year = (F.col("id") % 2 + 2023).cast("int").alias("year")
+    rows = spark.range(0, 900, 1, 2).select(year, month, (F.col("id") % 600).cast("string").alias("country_code"), F.col("id").cast("double").alias("valuecif"))
+    rows.write.parquet(str(tmp_path / "batch"))
+    batch, store = spark.read.parquet(str(tmp_path / "batch")), str(tmp_path / "store")
+    tasks = batch.rdd.getNumPartitions()
+    assert tasks > 1
+    upsert.upsert(spark, store, batch, KEYS, in_files=True)
+    found, plain = spark.read.parquet(store).select(*KEYS, "valuecif"), upsert.merged(None, batch, KEYS).select(*KEYS, "valuecif")
+    assert found.count() == 600 and found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty()
+    files = files_under(spark, store)
+    assert len(files) > len({f.rpartition("/")[0] for f in files})
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    few = str(tmp_path / "few")
+    monkeypatch.setattr(storage, "MANY_ROWS", 10_000)
+    upsert.upsert(spark, few, batch, KEYS, in_files=True)
+    assert len(files_under(spark, few)) == len({f.rpartition("/")[0] for f in files_under(spark, few)})
+    gathered = spark.read.parquet(few).select(*KEYS, "valuecif")
+    assert gathered.exceptAll(found).isEmpty() and found.exceptAll(gathered).isEmpty()
+
+
+def test_rows_of_no_folder_are_not_many(spark):
+    counts = spark.createDataFrame([(1, 30), (2, 10)], "month int, _n long")
+    assert not storage.many_in_folders(counts.where("_n < 0"), 2)
+    assert not storage.many_in_folders(counts, 2)
