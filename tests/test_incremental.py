@@ -9,6 +9,7 @@ from cargolens.plans.refresh import clean_for_store, refresh
 from cargolens import storage
 from cargolens.storage import files_under, scratch_path
 from cargolens.streaming import totals, upsert
+from verification import catalog_tables
 from verification.imports_view import imports_fact
 
 SF = "/root/testdata/sf0.001"
@@ -251,3 +252,13 @@ def test_rows_of_no_folder_are_not_many(spark):
     counts = spark.createDataFrame([(1, 30), (2, 10)], "month int, _n long")
     assert not storage.many_in_folders(counts.where("_n < 0"), 2)
     assert not storage.many_in_folders(counts, 2)
+
+
+def test_streamed_records_are_written_once(spark):
+    """Arrivals go straight to the folder that the stream reads: no copy of all records beside it."""
+    root = storage.scratch_root(spark)
+    before = set(files_under(spark, root))
+    catalog_tables.streamed_upsert(spark, SF).count()
+    new = [f for f in files_under(spark, root) if f not in before]
+    assert {f.split("/")[1] for f in new if f.startswith("stream-")} >= {"incoming", "store"}
+    assert not [f for f in new if f.startswith("records-") or "/arrivals/" in f]
