@@ -14,6 +14,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..storage import unsorted_writes
+
 _SHIFT = 33  # of the ids that Spark numbers a task's rows with
 
 
@@ -62,11 +64,14 @@ def build_page_index(df: DataFrame, path: str, keys, descending: bool = False) -
     own = own.withColumn("_id", F.monotonically_increasing_id())
     block = F.shiftright("_id", _SHIFT)
     placed = own.select(*df.columns, (F.col("_id") - F.shiftleft(block, _SHIFT)).alias("_place"), block.alias("_block"))
-    placed.write.mode("overwrite").partitionBy("_block").parquet(f"{path}/rows")
     spark = df.sparkSession
+    with unsorted_writes(spark, 1):  # a task is one block: the sorted rows need no second sort
+        placed.write.mode("overwrite").partitionBy("_block").parquet(f"{path}/rows")
     rows = spark.read.schema(placed.schema).parquet(f"{path}/rows")
     keyed = F.struct(*[F.col(k) for k in keys])
-    counts = rows.groupBy("_block").agg(F.count(F.lit(1)).alias("row_count"), F.min_by(keyed, "_place").alias("first_keys"))
+    # of all columns but the place only a block's first row is read
+    first = rows.where("_place = 0").select("_block", keyed.alias("first_keys"))
+    counts = rows.groupBy("_block").agg((F.max("_place") + 1).alias("row_count")).join(first, "_block")
     # one row for each sort task
     before = F.sum("row_count").over(W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1))
     counts = counts.select(F.col("_block").alias("block"), F.coalesce(before, F.lit(0)).alias("before"), "row_count", "first_keys")

@@ -72,3 +72,23 @@ def test_a_count_reads_no_column(spark, tmp_path):
     found = upsert.completeness(spark.read.parquet(str(tmp_path / "s")), 100)
     assert "ReadSchema: struct<>" in found._jdf.queryExecution().executedPlan().toString()
     assert tuple(found.first()) == (100, True)
+
+
+def test_blocks_are_sorted_once(spark, many_blocks, tmp_path, monkeypatch):
+    """The write to block folders keeps the order it is given; a block's first row names its keys."""
+    written = []
+    inside = pages.unsorted_writes
+
+    def noted(session, folders):
+        written.append(folders)
+        return inside(session, folders)
+
+    monkeypatch.setattr(pages, "unsorted_writes", noted)
+    df = spark.range(300).select((F.col("id") % 100).alias("k"), F.when(F.col("id") % 7 != 0, F.col("id")).alias("n"))
+    index = pages.build_page_index(df, str(tmp_path / "index"), ["k", "n"])
+    assert written == [1]
+    rows = spark.read.parquet(f"{index.path}/rows")
+    for block in index.blocks(spark).collect():
+        own = sorted(rows.where(F.col("_block") == block["block"]).collect(), key=lambda r: r["_place"])
+        assert [r["_place"] for r in own] == list(range(block["row_count"]))
+        assert (own[0]["k"], own[0]["n"]) == tuple(block["first_keys"])
