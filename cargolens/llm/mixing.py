@@ -32,14 +32,17 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def running(df: DataFrame, order: list[Column], value: str, out: str, name: str, group: tuple[str, ...] = ()) -> DataFrame:
-    """Add the sum of ``value`` over all rows of the group up to and including this one, in the order of ``group, order``.
+def running(
+    df: DataFrame, order: list[Column], value: str, out: str, name: str, keep: tuple[str, ...], group: tuple[str, ...] = ()
+) -> DataFrame:
+    """The columns to ``keep`` and the sum of ``value`` over all rows of the group up to and including this one, in the
+    order of ``group, order``.
 
-    The rows are sorted over all tasks and written with the number of their task. A task's rows are summed by a window
-    of their own; sums of the earlier tasks have one row for each task and group.
+    The rows are sorted over all tasks and written with the number of their task, without columns that only sort them. A
+    task's rows are summed by a window of their own; sums of the earlier tasks have one row for each task and group.
     """
     place = F.monotonically_increasing_id()
-    sorted_rows = df.orderBy(*group, *order).withColumn("place", place).withColumn("task", F.shiftright("place", 33))
+    sorted_rows = df.orderBy(*group, *order).select(*keep, *group).withColumn("place", place).withColumn("task", F.shiftright("place", 33))
     sorted_rows = stored(sorted_rows, name)
     sums = sorted_rows.groupBy("task", *group).agg(F.sum(value).alias("all_of_task"))
     earlier = W.partitionBy(*group).orderBy("task").rowsBetween(W.unboundedPreceding, -1)
@@ -92,11 +95,13 @@ def schedule(rows: DataFrame, targets: DataFrame, budget: int, repeats: int = RE
     passes = F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("pass")
     queued = queued.select("row_id", "doc_id", "sign", "size", "number", "target", passes)
     text = F.concat_ws(":", F.lit(str(seed)), F.col("pass").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    queued = queued.withColumn("shuffle", F.md5(text))
+    queued = queued.withColumn("shuffle", F.unhex(F.md5(text)))
     order = [F.col(c) for c in ("pass", "shuffle", "doc_id", "sign", "row_id")]
-    queues = running(queued, order, "size", "queued", "mix-queues", ("number",))
-    finished = queues.withColumn("finish", F.col("queued").cast("double") / F.col("target")).drop("queued", "target")
-    sent = running(finished, [F.col("finish"), F.col("number"), *order], "size", "sent", "mix-sent")
+    queues = running(queued, order, "size", "queued", "mix-queues", ("row_id", "pass", "size", "target"), ("number",))
+    finished = queues.withColumn("finish", F.col("queued").cast("double") / F.col("target")).drop("target")
+    # words queued so far grow along a queue, so they alone tell rows of one finish time and queue apart
+    merged = [F.col(c) for c in ("finish", "number", "queued")]
+    sent = running(finished, merged, "size", "sent", "mix-sent", ("row_id", "pass", "size", "finish"))
     return sent.where(F.col("sent") <= budget).select("row_id", "pass", "size", "finish", "sent")
 
 

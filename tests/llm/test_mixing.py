@@ -137,3 +137,17 @@ def test_empty_table(spark, empty_dir):
     assert mixing.op13_mixing(spark, empty_dir).count() == 0
     nothing = spark.createDataFrame([(1, None, "a"), (2, " ", None)], "doc_id long, text string, source string")
     assert {tuple(r)[3:] for r in mixing.mix(nothing).collect()} == {(0, 0, 0.0, 0)}
+
+
+def test_sorted_rows_are_written_narrow(spark, unique, many_blocks, monkeypatch):
+    """Columns that only sort the queues are not written, sorted or shuffled again."""
+    columns, store = {}, mixing.stored
+
+    def noted(df, name, *args, **options):
+        columns[name] = set(df.columns)
+        return store(df, name, *args, **options)
+
+    monkeypatch.setattr(mixing, "stored", noted)
+    assert mixing.mix(frame(spark, unique)).count() == len(unique)
+    assert columns["mix-queues"] == {"row_id", "pass", "size", "target", "number", "place", "task"}
+    assert columns["mix-sent"] == {"row_id", "pass", "size", "finish", "place", "task"}
