@@ -1,4 +1,5 @@
 import random
+import re
 from decimal import Decimal
 
 import numpy as np
@@ -6,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from cargolens import schema
 from cargolens.operators import aggregates, classify, clean, concentration, filters, matrix, percentiles
 from cargolens.operators import quality, ranking, running, trends
 from cargolens.plans import reports
@@ -353,3 +355,23 @@ def test_quadrants(spark):
         "Machinery & Transport Equipment": "Premium Product",
         "Chemicals & Related Products": "Standard",
     }
+
+
+def test_cleaning_stays_below_the_size_that_the_jvm_compiles(spark, tmp_path, capsys):
+    """No generated method of a filtered, cleaned extract has 8,000 bytes or more."""
+    raw = spark.createDataFrame([tuple("May 2024" if c == "month" else "1" for c in schema.RAW_COLUMNS)], [*schema.RAW_COLUMNS])
+    raw.write.parquet(str(tmp_path / "raw"))
+    raw = spark.read.parquet(str(tmp_path / "raw"))
+    dated = clean.split_month(raw.withColumn("r", F.struct(*raw.columns)))
+    chosen = dated.where("NOT (year = 2025 AND month_number IN (4, 9)) OR month_number IS NULL").select("r.*")
+    schema.conform(clean.clean_records(chosen)).explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_numbers_are_cleaned_whatever_their_types(spark):
+    df = spark.createDataFrame([("1d", 2.5, -3, "x"), (None, None, 4, "y")], "weight string, quantity double, valuecif int, mode string")
+    found = clean.clean_numbers(df)
+    assert found.dtypes == [("weight", "double"), ("quantity", "double"), ("valuecif", "double"), ("mode", "string")]
+    assert [tuple(r) for r in found.collect()] == [(0.0, 2.5, 0.0, "x"), (0.0, 0.0, 4.0, "y")]
+    assert clean.clean_numbers(df.select("mode")).columns == ["mode"]
