@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from cargolens import schema
 from cargolens.operators import aggregates
-from cargolens.plans.refresh import clean_for_store, refresh
+from cargolens.plans.refresh import clean_by_month, clean_for_store, refresh
 from cargolens import storage
+from cargolens.sources import sinks
+from cargolens.sources.sinks import write_cleaned
 from cargolens.storage import files_under, scratch_path
 from cargolens.streaming import totals, upsert
 from verification import catalog_tables
@@ -274,3 +276,19 @@ def test_only_folders_of_the_months_are_read(spark, tmp_path):
     found = upsert.rows_of_months(spark.read.parquet(store), spark.read.parquet(listed)).select(*KEYS, "valuecif")
     assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, found.collect()), key=str) == sorted((r for r in rows if r[:2] in months), key=str)
+
+
+def test_cleaned_rows_of_many_a_month_need_no_shuffle(spark, tmp_path, monkeypatch):
+    """Cleaned rows tell whether their tasks can write month folders as they are; the rows written are the same."""
+    raw = [(f"{m} 2024", c, "5", "7.25") for m in ("January", "May", None) for c in "abcd"] * 2
+    raw = spark.createDataFrame(raw, "month string, country_code string, weight string, valuecif string").repartition(2)
+    rows, many = clean_by_month(raw)
+    assert not many
+    monkeypatch.setattr(storage, "MANY_ROWS", 1)
+    same, many = clean_by_month(raw)
+    assert many and same.count() == 12 and same.exceptAll(rows).isEmpty()
+    store = write_cleaned(same, str(tmp_path / "store"), by_month=many)
+    assert spark.read.parquet(store).select(*rows.columns).exceptAll(rows).isEmpty()
+    written, gathered = [], []
+    monkeypatch.setattr(sinks, "write_cleaned", lambda df, path, by_month=False: (written if by_month else gathered).append(path) or write_cleaned(df, path, by_month=by_month))
+    assert catalog_tables.stored_table(spark, SF).count() and written and not gathered
